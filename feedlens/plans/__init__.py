@@ -3,9 +3,9 @@ result is expressible in SQL, to an equivalent DuckDB/ANSI SQL oracle."""
 
 from __future__ import annotations
 
-from feedlens.plans import tracker
+from feedlens.plans import requests, text, tracker
 
-_MODULES = [tracker]
+_MODULES = [tracker, requests, text]
 
 
 def queries() -> dict:
