@@ -3,9 +3,9 @@ result is expressible in SQL, to an equivalent DuckDB/ANSI SQL oracle."""
 
 from __future__ import annotations
 
-from feedlens.plans import requests, text, tracker
+from feedlens.plans import clusters, requests, text, tracker
 
-_MODULES = [tracker, requests, text]
+_MODULES = [tracker, requests, text, clusters]
 
 
 def queries() -> dict:
