@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 # The token rule (runs of at least two letters, digits or
 # underscores; the same tokens as ``\b\w\w+\b`` on Unicode text).
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
-WS_EDGES = r"(?U)^\s+|\s+$"
+
+# Whitespace = the characters Python's str.isspace() accepts (generated by rule).
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 WS_RUNS = r"(?U)\s+"
 
 
@@ -23,8 +25,9 @@ def _c(x) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Remove leading/trailing Unicode whitespace (``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(c), WS_EDGES, "")
+    """Remove leading/trailing Unicode whitespace (plain ``trim`` only removes
+    spaces); a native two-sided trim over the whitespace set, no regex."""
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def clean_text(c) -> Column:

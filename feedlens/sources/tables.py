@@ -22,6 +22,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+# Tables whose rows carry CPU-heavy text or JSON work (tokenising, HMAC, parsing).
+TEXT_TABLES = ("documents", "events", "conversations", "pages", "benchmark")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the session has cores.
+
+    A small file with one row group is read by one task; per-row text work on
+    it would then use one core.  Large inputs already have at least one split
+    per core and are returned unchanged (no extra shuffle)."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 class Tables:
     """Memoised scans of one data directory (one scan object per table)."""
 
@@ -34,5 +50,6 @@ class Tables:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = read_table(self.spark, self.sf_dir, name)
+            df = read_table(self.spark, self.sf_dir, name)
+            self._cache[name] = spread(df) if name in TEXT_TABLES else df
         return self._cache[name]
