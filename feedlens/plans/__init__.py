@@ -23,4 +23,5 @@ def oracles() -> dict[str, str]:
 
 
 def flagship(spark, sf_dir):
-    return tracker.issue_state_counts(spark, sf_dir)
+    """The analyzer end to end: cluster report over the request table."""
+    return clusters.cluster_report(spark, sf_dir)

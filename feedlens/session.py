@@ -21,6 +21,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of collected intermediates are removed with their references
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Signature keys are derived on the driver; keep them out of plans and the UI.
     "spark.sql.redaction.string.regex": "(?i)(secret|ipad|opad|signature_key)",
 }
@@ -32,8 +34,10 @@ def get_spark(app: str = "feedlens", master: str | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    launched = _launched_conf()
     for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
+        if key not in launched:
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
@@ -44,6 +48,16 @@ def get_spark(app: str = "feedlens", master: str | None = None,
     return spark
 
 
+def _launched_conf() -> set[str]:
+    """Keys the deployment already set (spark-submit / spark-defaults.conf)."""
+    try:
+        from pyspark import SparkConf, SparkContext
+        SparkContext._ensure_initialized()
+        return {k for k, _ in SparkConf().getAll()}
+    except Exception:  # pragma: no cover - no JVM available
+        return set()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
