@@ -49,9 +49,15 @@ def get_spark(app: str = "feedlens", master: str | None = None,
 
 
 def _launched_conf() -> set[str]:
-    """Keys the deployment already set (spark-submit / spark-defaults.conf)."""
+    """Keys the deployment already set.
+
+    Only read when a JVM is already up (spark-submit launches the Python driver
+    from it); starting one here would freeze driver settings such as memory
+    before the builder could apply them."""
     try:
         from pyspark import SparkConf, SparkContext
+        if SparkContext._jvm is None and not os.environ.get("PYSPARK_GATEWAY_PORT"):
+            return set()
         SparkContext._ensure_initialized()
         return {k for k, _ in SparkConf().getAll()}
     except Exception:  # pragma: no cover - no JVM available
