@@ -238,3 +238,34 @@ def project_list(spark, sf_dir):
 QUERIES["project_list"] = project_list
 ORACLES["project_list"] = with_views(["projects"], """
 SELECT id, coalesce(name, '(Unnamed Project)') AS name FROM projects""")
+
+
+# -- assignee_issue_totals: F4 A13 (listing totals, archived included) ------------------
+def assignee_issue_totals(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    listed = ops.assignee_issues(v.issues, include_archived=True)
+    return listed.groupBy("assignee_id").agg(F.count(F.lit(1)).alias("total"))
+
+
+QUERIES["assignee_issue_totals"] = assignee_issue_totals
+ORACLES["assignee_issue_totals"] = with_views(["issues"], """
+SELECT assignee_id, count(*) AS total FROM issues GROUP BY assignee_id""")
+
+
+# -- user_resolution: F10 P27 (every assignee resolved by its e-mail, any case) ----------
+def user_resolution(spark, sf_dir):
+    """Each user's e-mail upper-cased and resolved back through a case-insensitive
+    equi-join on ``lower(email)``; duplicates resolve to the smallest id."""
+    v = _views(spark, sf_dir)
+    probes = v.users.select(F.col("id").alias("probe_id"), F.upper("email").alias("probe"))
+    targets = (v.users.groupBy(F.lower("email").alias("_e"))
+               .agg(F.min("id").alias("resolved_id")))
+    return (probes.join(targets, F.lower("probe") == F.col("_e"), "left")
+            .select("probe_id", "resolved_id"))
+
+
+QUERIES["user_resolution"] = user_resolution
+ORACLES["user_resolution"] = with_views(["users"], """
+SELECT p.id AS probe_id, t.resolved_id
+FROM users p LEFT JOIN (SELECT lower(email) AS e, min(id) AS resolved_id FROM users GROUP BY 1) t
+  ON lower(upper(p.email)) = t.e""")
