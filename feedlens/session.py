@@ -68,8 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the deployment names a shared (HDFS/object-store) folder and we
-    only read it.  When it is unset, as in local tests, a private folder is
-    created so ``DataFrame.checkpoint()`` works.
+    only read it; a cluster without one is an error (a machine-local folder would
+    not survive a lost executor).  In local mode, as in tests, a private folder
+    is created when none is set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -77,7 +78,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="feedlens-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(HDFS or object store) that every executor can read")
+        configured = tempfile.mkdtemp(prefix="feedlens-ckpt-")   # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
