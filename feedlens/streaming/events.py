@@ -32,16 +32,17 @@ ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
 def read_webhooks(spark: SparkSession, path: str, fmt: str = "parquet",
-                  options: dict | None = None) -> DataFrame:
+                  options: dict | None = None, signature_header: str = "signature") -> DataFrame:
     """Streaming source of raw deliveries.
 
     ``fmt`` is ``parquet`` or ``json`` (a landing folder with the
-    ``WEBHOOK_RAW`` schema) or ``kafka`` (``value`` is the body, the
-    ``Linear-Signature`` header the signature; needs the Kafka connector)."""
+    ``WEBHOOK_RAW`` schema) or ``kafka`` (``value`` is the body, the header named
+    ``signature_header`` (any case) the signature; needs the Kafka connector)."""
     opts = dict(options or {})
     if fmt == "kafka":
         raw = spark.readStream.format("kafka").options(**opts).option("includeHeaders", "true").load()
-        sig = F.filter("headers", lambda h: F.lower(h["key"]) == "linear-signature")
+        wanted = signature_header.lower()
+        sig = F.filter("headers", lambda h: F.lower(h["key"]) == F.lit(wanted))
         return raw.select(F.col("value").alias("body"),
                           F.get(sig, 0)["value"].cast("string").alias("signature"),
                           F.col("timestamp").alias("received_at"))
