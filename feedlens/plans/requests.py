@@ -79,7 +79,7 @@ FROM feedback""")
 def clean_texts(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
     c = d.select("doc_id", clean_text("text").alias("clean")).filter(F.col("clean").isNotNull())
-    return c.select("doc_id", F.length("clean").alias("clean_len"),
+    return c.select("doc_id", F.length("clean").cast("bigint").alias("clean_len"),
                     normalize_text("clean").alias("norm"))
 
 
