@@ -23,7 +23,7 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 # Fixed parameters of the registered queries: a corpus lexicon whose cues occur in
-# the benchmark prose (the stock cues are tested on the reference sample instead).
+# the benchmark prose (the stock cues are tested on literal fixtures instead).
 CORPUS_LEXICON = (
     ("Bug", r"that|with"),
     ("Feature Request", r"avec|pour"),
@@ -166,7 +166,9 @@ def cluster_embeddings(spark, sf_dir):
     auto_k, _ = C.choose_k(feats, n=n)
     k = C.k_policy(n, None, auto_k)
     pred, _ = C.cluster(feats, k)
-    return pred.select(F.col("id").alias("vec_id"), "cluster")
+    out = C.materialize(pred.select(F.col("id").alias("vec_id"), "cluster"), key="vec_id")
+    feats.unpersist()
+    return out
 
 
 def _analysis(spark, sf_dir):
