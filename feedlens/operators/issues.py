@@ -10,6 +10,7 @@ runtime whether a side is small enough to broadcast.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -228,11 +229,10 @@ def search_issues(issues: DataFrame, query: str | None, limit=None,
     if scan_limit is not None:
         base = base.orderBy("id").limit(int(scan_limit))
     out_cols = ["id", "identifier", F.coalesce("title", F.lit("")).alias("title")]
-    import re
     m = re.match(S.IDENTIFIER_PATTERN, q)
     if m:
         key, number = m.group(1).upper(), int(m.group(2))
-        ident_key, ident_no = S.parse_identifier(F.col("identifier"))
+        ident_key, _ = S.parse_identifier(F.col("identifier"))
         hits = base.filter((ident_key == key) & (F.col("number") == number))
     elif q:
         lq = q.lower()

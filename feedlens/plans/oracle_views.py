@@ -85,7 +85,7 @@ VIEWS["open_lite"] = """
 _ORDER = list(VIEWS)
 
 
-def register_view(name: str, body: str, after: str | None = None) -> None:
+def register_view(name: str, body: str) -> None:
     VIEWS[name] = body
     if name not in _ORDER:
         _ORDER.append(name)
@@ -152,8 +152,6 @@ register_view("feedback", """
   LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) s ON c.c_custkey = s.o_custkey""")
 
 
-
-
 def _closure(names: list[str]) -> set[str]:
     need: set[str] = set()
     stack = list(names)
