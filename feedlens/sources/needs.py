@@ -106,7 +106,7 @@ def issue_need_docs(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE
 def project_needs_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     p, n = t.part, t.nation
-    brand_no = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
+    brand_no = F.regexp_extract("p_brand", r"(\d+)$", 1).try_cast("int")
     j = p.join(n, brand_no - 1 == n.n_nationkey, "left")
     size = F.col("p_size")
     need = F.struct(

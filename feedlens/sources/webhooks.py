@@ -29,7 +29,7 @@ def _json_str(c: Column) -> Column:
 
 def deliveries_from_events(spark: SparkSession, sf_dir: str, key: str = TEST_KEY) -> DataFrame:
     ev = Tables(spark, sf_dir).events
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     etype = F.col("event_type")
     t = None
     for src, dst in EVENT_TYPES.items():
