@@ -37,11 +37,15 @@ def read_need_docs(spark: SparkSession, path: str, kind: str = "issue",
 
 
 def _paged(flat: DataFrame, host: str, row_hash: list[Column], page_size: int) -> DataFrame:
-    counts = flat.groupBy(host).agg(F.count(F.lit(1)).alias("_n"))
-    return (flat.join(counts, host)
+    """Page number per need: ``hash(need) mod ceil(n_host / page_size)``.  The host
+    counts are a partial aggregate joined back null-safely (needs without a host
+    are kept); a hot host is split by adaptive skew handling."""
+    counts = (flat.groupBy(host).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumnRenamed(host, "_host"))
+    return (flat.join(counts, flat[host].eqNullSafe(counts["_host"]))
             .withColumn("page", F.pmod(F.xxhash64(*row_hash),
                                        F.ceil(F.col("_n") / F.lit(page_size))).cast("bigint"))
-            .drop("_n"))
+            .drop("_n", "_host"))
 
 
 def customer_accounts(t: Tables) -> DataFrame:
