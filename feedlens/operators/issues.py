@@ -71,6 +71,15 @@ def resolve_user(users: DataFrame, email: str) -> DataFrame:
     return users.filter(S.ci_eq("email", email)).orderBy("id").limit(1)
 
 
+def resolve_user_id(users: DataFrame, email: str):
+    """F10 as a value: the id of the user with this e-mail; no such user is an error
+    (one row at most reaches the driver)."""
+    row = resolve_user(users, email).select("id").first()
+    if row is None:
+        raise LookupError(f"No user found for email: {email}")
+    return row[0]
+
+
 def resolve_team(teams: DataFrame, name: str | None = None) -> DataFrame:
     """Team by name (case-insensitive); no name → the first team."""
     if name is not None:
