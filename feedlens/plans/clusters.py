@@ -181,8 +181,9 @@ def cluster_documents(spark, sf_dir):
 
 
 def choose_k(spark, sf_dir):
-    a = _analysis(spark, sf_dir)
-    rows = [(r.k, r.n_clusters, r.min_size, r.silhouette, r.k == a.k) for r in a.sweep]
+    k, sweep = AN.sweep_k(feedback_from_tables(spark, sf_dir), id_col="doc_id",
+                          text_col="request")
+    rows = [(r.k, r.n_clusters, r.min_size, r.silhouette, r.k == k) for r in sweep]
     schema = "k int, n_clusters int, min_size int, silhouette double, chosen boolean"
     return spark.createDataFrame(rows, schema)
 
