@@ -35,7 +35,7 @@ def _let(value: Column, body) -> Column:
 def sketch(text: Column, fraction: float = FRACTION, shingle: int = SHINGLE) -> Column:
     """Sorted distinct shingle hashes below ``fraction`` of the hash range."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    bound = F.lit(-(1 << 63) + int(fraction * 2 ** 64))
+    bound = F.lit(min(_LONG_MAX, -(1 << 63) + int(fraction * 2 ** 64)))
 
     def of_words(h: Column) -> Column:
         n = F.size(h)
