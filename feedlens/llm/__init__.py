@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from feedlens.llm import byte_bpe, fingerprints, token_counts
+from feedlens.llm import byte_bpe, fingerprints, licenses, line_crf, mixing, pii, token_counts, toxicity
 
-_MODULES = [fingerprints, token_counts, byte_bpe]
+_MODULES = [pii, line_crf, fingerprints, toxicity, token_counts, mixing, byte_bpe, licenses]
 
 
 def queries() -> dict:
