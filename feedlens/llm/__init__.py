@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from feedlens.llm import byte_bpe, fingerprints, licenses, line_crf, mixing, near_dups, pii, token_counts, toxicity
+from feedlens.llm import byte_bpe, fingerprints, licenses, line_crf, mixing, near_dups, pii, substrings, token_counts, toxicity
 
-_MODULES = [pii, line_crf, fingerprints, toxicity, token_counts, mixing, byte_bpe, near_dups, licenses]
+_MODULES = [pii, line_crf, fingerprints, toxicity, token_counts, mixing, substrings, byte_bpe, near_dups, licenses]
 
 
 def queries() -> dict:
