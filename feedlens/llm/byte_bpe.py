@@ -194,7 +194,8 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",)
     shared = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))       # vocabulary-sized
     kept = docs.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", token_ids binary" + ", token_offsets binary" * with_offsets
-    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).transform(
+            common.map_arrow,
         partial(_encode, shared=shared, with_offsets=with_offsets, columns=list(keep)), schema)
 
 
@@ -229,7 +230,7 @@ def decode(tokens: DataFrame, ranks_path: str) -> DataFrame:
     """Add ``decoded`` (binary) to rows with ``token_ids``."""
     shared = tokens.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema) + ", decoded binary"
-    return tokens.mapInArrow(partial(_decode, shared=shared), schema)
+    return tokens.transform(common.map_arrow, partial(_decode, shared=shared), schema)
 
 
 def token_digests(docs: DataFrame) -> DataFrame:

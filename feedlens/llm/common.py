@@ -18,6 +18,8 @@ from feedlens.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts handled together by the array code: at most this many characters (or one text).
 CHUNK_CHARS = 1_000_000
+BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +42,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
+    """``df.mapInArrow(task, schema)`` in batches of BATCH_ROWS rows and BATCH_BYTES bytes at most
+    (a longer row is a batch by itself), so that a Python worker holds little text at a time."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(task, schema)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -164,7 +164,8 @@ def _scan(batches):
 
 def scan(docs: DataFrame) -> DataFrame:
     """Licence findings of every row of ``docs`` (doc_id, text)."""
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text").transform(
+            common.map_arrow,
         _scan, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
                "base_labels string, labels string, score double, expressions array<string>")
 

@@ -200,7 +200,8 @@ def _judge(batches, shared):
 def quality(docs: DataFrame, field: Field) -> DataFrame:
     """Counts, base rule, content share and verdict of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(field)               # about 100 numbers
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text").transform(
+            common.map_arrow,
         partial(_judge, shared=shared),
         "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
         "n_repeat_words bigint, base_failed boolean, kept boolean, content_share double")

@@ -137,7 +137,8 @@ def plan_mix(sized: DataFrame, seed: int = SEED, max_sources: int = MAX_SOURCES)
         quotas[r["__mix_sid"]] = r["q"]
     total = int(quotas.sum())
     shards = max(1, math.ceil(total / BLOCKS_PER_SHARD))
-    leaves = spark.range(shards if total else 0).mapInArrow(
+    leaves = spark.range(shards if total else 0).transform(
+            common.map_arrow,
         partial(_leaves, quotas=quotas, shards=shards, seed=seed), "__mix_sid int, __mix_draw bigint, shard bigint")
     draws = common.written(drawn.join(leaves, ["__mix_sid", "__mix_draw"]).select("__mix_sid", "__mix_block", "shard", "__mix_draw"), "mix-draws")
     return sources.select("source", "source_size", "target", "__mix_sid"), draws, total

@@ -188,8 +188,8 @@ def _propose(batches, threshold, tolerance):
                 ii.append(np.repeat(left, len(right)))
                 jj.append(np.tile(right, len(left)))
         i, j = np.concatenate(ii), np.concatenate(jj)
-        found = [prune(sigs, sizes, i[x:x + 200_000], j[x:x + 200_000], band[i[x:x + 200_000]], threshold, tolerance)
-                 for x in range(0, len(i), 200_000)]
+        found = [prune(sigs, sizes, i[x:x + 50_000], j[x:x + 50_000], band[i[x:x + 50_000]], threshold, tolerance)
+                 for x in range(0, len(i), 50_000)]
         if not found:
             continue
         i, j = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
@@ -298,7 +298,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     classes, docs their documents."""
     signed = common.written(
         docs.select("doc_id", "text", row_key().alias("row"))
-        .mapInArrow(_sign, "doc_id bigint, row bigint, cid bigint, size bigint, sig array<bigint>"), "near-signed")
+        .transform(common.map_arrow, _sign, "doc_id bigint, row bigint, cid bigint, size bigint, sig array<bigint>"), "near-signed")
     classes = common.written(signed.groupBy("cid", "size", "sig").agg(
         F.count("*").alias("mult"), F.min("row").alias("rep"), F.min("doc_id").alias("first_id")), "near-classes")
     exploded = classes.filter("size > 0").select("cid", F.posexplode("sig").alias("band", "value"))
@@ -311,11 +311,13 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
                .select("cid", "size", "sig", "mult", "rep", "band", "tile", F.least("tile", "other").alias("lo"),
                        F.greatest("tile", "other").alias("hi"), "value")
                .withColumn("blk", F.xxhash64("band", "value", "lo", "hi")).drop("value"))
-    proposed = common.written(members.repartition("blk").sortWithinPartitions("blk").mapInArrow(
+    proposed = common.written(members.repartition("blk").sortWithinPartitions("blk").transform(
+            common.map_arrow,
         partial(_propose, threshold=threshold, tolerance=tolerance), _CANDIDATES), "near-candidates")
     with_text = (docs.select(row_key().alias("rep"), "text").join(proposed, "rep")
                  .select("blk", "cid", "mult", "partners", "text"))
-    verified = common.written(with_text.repartition("blk").sortWithinPartitions("blk").mapInArrow(
+    verified = common.written(with_text.repartition("blk").sortWithinPartitions("blk").transform(
+            common.map_arrow,
         partial(_verify, threshold=threshold), "cid bigint, root bigint, texts bigint, docs bigint"), "near-links")
     links = verified.groupBy("cid").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     labels = components(verified.filter("cid != root").select(F.col("cid").alias("a"), F.col("root").alias("b")).distinct())

@@ -152,7 +152,8 @@ def _extract(batches, keep):
 def extract(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns, a key of the text, its base spans and mentions; written once."""
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
-    return common.written(docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(
+    return common.written(docs.select(*dict.fromkeys([*keep, "text"])).transform(
+            common.map_arrow,
         partial(_extract, keep=keep), f"{schema}__pii_key binary, __pii_base {_SPANS}, __pii_mentions {_MENTIONS}"), "pii-mentions")
 
 
@@ -236,8 +237,8 @@ def redact(docs: DataFrame) -> DataFrame:
     names = docs.columns
     key = partial(_keyed, names=names)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    with_extra = docs.mapInArrow(key, schema + ", __pii_key binary").join(extra, "__pii_key", "left")
-    clean = with_extra.select(*names, "__pii_extra").mapInArrow(partial(_redact, names=names), schema)
+    with_extra = docs.transform(common.map_arrow, key, schema + ", __pii_key binary").join(extra, "__pii_key", "left")
+    clean = with_extra.select(*names, "__pii_extra").transform(common.map_arrow, partial(_redact, names=names), schema)
     return clean.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in names else clean
 
 

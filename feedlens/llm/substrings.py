@@ -143,7 +143,7 @@ def repeated_windows(segments: list[list[bytes]], window: int = WINDOW) -> list[
     if not len(ends):
         return [np.zeros(0, np.int64) for _ in segments]
     index = FMIndex(text)
-    hits = np.concatenate([e[index.matching(text, e, window) >= window] for e in np.array_split(ends, -(-len(ends) // 200_000))])
+    hits = np.concatenate([e[index.matching(text, e, window) >= window] for e in np.array_split(ends, -(-len(ends) // 50_000))])
     starts = np.sort(hits) - (window - 1)
     cuts = np.searchsorted(starts, np.append(first, len(text)))
     return [starts[a:b] - f for a, b, f in zip(cuts, cuts[1:], first)]
@@ -213,7 +213,8 @@ def _remove(batches):
 
 def removals(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """doc_id, row, n_words, n_removed and kept_sha256 of every row of ``docs`` (doc_id, text)."""
-    scanned = common.written(docs.select("doc_id", row_key().alias("row"), "text").mapInArrow(
+    scanned = common.written(docs.select("doc_id", row_key().alias("row"), "text").transform(
+            common.map_arrow,
         partial(_scan, window=window), "doc_id bigint, row bigint, wkey bigint, n_words bigint, sha string, mins array<bigint>"), "sub-scan")
     copies = common.written(scanned.groupBy("wkey").agg(F.count("*").alias("copies"), F.min("row").alias("row")), "sub-copies")
     # one row of each distinct word sequence takes part; copies are decided by their number alone
@@ -221,13 +222,14 @@ def removals(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame
     counts = spread.groupBy("m").agg(F.count("*").alias("n")).filter("n > 1").select("m", F.ceil(F.col("n") / hot).cast("int").alias("parts"))
     suspects = spread.join(counts, "m").groupBy("row").agg(F.collect_set(F.struct("m", "parts")).alias("shared"))
     texts = common.written(docs.select(row_key().alias("row"), "text").join(suspects, "row"), "sub-texts")
-    segments = common.written(texts.mapInArrow(partial(_cut, window=window), _SEGMENTS), "sub-segments")
+    segments = common.written(texts.transform(common.map_arrow, partial(_cut, window=window), _SEGMENTS), "sub-segments")
     distinct = segments.groupBy("m", "sub", "sid", "seg", "len").agg(F.count("*").alias("seen"))
-    found = distinct.repartition("m", "sub").sortWithinPartitions("m", "sub").select("m", "sub", "sid", "seg", "len", "seen").mapInArrow(
+    found = distinct.repartition("m", "sub").sortWithinPartitions("m", "sub").select("m", "sub", "sid", "seg", "len", "seen").transform(
+            common.map_arrow,
         partial(_search, window=window), "sid binary, a array<int>, b array<int>")
     spans = segments.select("sid", "row", "start").join(found, "sid").groupBy("row").agg(
         F.collect_list(F.struct("start", "a", "b")).alias("spans"))
-    cut = texts.select("row", "text").join(spans, "row").mapInArrow(_remove, "row bigint, n_removed bigint, kept_sha256 string")
+    cut = texts.select("row", "text").join(spans, "row").transform(common.map_arrow, _remove, "row bigint, n_removed bigint, kept_sha256 string")
     alone = common.written(cut, "sub-cut")
     every = scanned.select("doc_id", "row", "wkey", "n_words", "sha").join(copies.select("wkey", "copies"), "wkey")
     whole = (F.col("copies") > 1) & (F.col("n_words") >= window)

@@ -73,7 +73,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = LIMIT) -> DataFr
     ranks = load_ranks(model_path)
     shared = docs.sparkSession.sparkContext.broadcast((ranks, prove_whole(ranks)))   # vocabulary-sized
     counted = (docs.select("doc_id", "text")
-               .mapInArrow(partial(_count, shared=shared), "doc_id bigint, n_bytes bigint, n_tokens bigint"))
+               .transform(common.map_arrow, partial(_count, shared=shared), "doc_id bigint, n_bytes bigint, n_tokens bigint"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

@@ -205,7 +205,7 @@ def scored(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """``keep`` columns of every row and ``__score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", __score double"
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(partial(_score, shared=shared, keep=keep), schema)
+    return docs.select(*dict.fromkeys([*keep, "text"])).transform(common.map_arrow, partial(_score, shared=shared, keep=keep), schema)
 
 
 def drop_toxic(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
