@@ -11,6 +11,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedlens.session import ensure_checkpoint_dir
 
@@ -20,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_CHARS = 1_000_000
 BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
+#: Key tables of at most this many rows (8 bytes a key) are broadcast, larger ones shuffled.
+BROADCAST_ROWS = 1_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +45,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(keys: DataFrame) -> DataFrame:
+    """``keys`` (written before, narrow) with a broadcast hint where its row count is in bounds."""
+    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
+
+
 def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
     """``df.mapInArrow(task, schema)`` in batches of BATCH_ROWS rows and BATCH_BYTES bytes at most
     (a longer row is a batch by itself), so that a Python worker holds little text at a time."""

@@ -314,7 +314,8 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     proposed = common.written(members.repartition("blk").sortWithinPartitions("blk").transform(
             common.map_arrow,
         partial(_propose, threshold=threshold, tolerance=tolerance), _CANDIDATES), "near-candidates")
-    with_text = (docs.select(row_key().alias("rep"), "text").join(proposed, "rep")
+    reps = common.written(proposed.select("rep").distinct(), "near-reps")
+    with_text = (docs.select(row_key().alias("rep"), "text").join(common.small_side(reps), "rep", "left_semi").join(proposed, "rep")
                  .select("blk", "cid", "mult", "partners", "text"))
     verified = common.written(with_text.repartition("blk").sortWithinPartitions("blk").transform(
             common.map_arrow,
@@ -341,13 +342,20 @@ def classified(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: of the least doc_id, null last."""
     every, classes = link(docs, threshold)
-    labelled = every.join(classes.select("cid", "label"), "cid")
-    kept = common.written(labelled.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("k"))
-                          .select(F.col("k.row").alias("__near_row")), "near-kept")
-    names = docs.columns
-    rows = docs.withColumn("__near_row", row_key()).join(kept, "__near_row")
+    rows = every.join(classes.select("cid", "label"), "cid").groupBy("label", "row").agg(
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    rows = common.written(rows, "near-rows")
+    best = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("k"))
+    judged = common.written(rows.join(best, "label").select("row", "n", (F.col("row") == F.col("k.row")).alias("best"))
+                            .filter("n > 1 or not best").select(F.col("row").alias("__near_row"), "best"), "near-judged")
+    keyed = docs.withColumn("__near_row", row_key())
+    kept = keyed.join(common.small_side(judged.select("__near_row")), "__near_row", "left_anti").drop("__near_row")
+    twins = judged.filter("best").select("__near_row")
+    if twins.isEmpty():
+        return kept
     one = Window.partitionBy("__near_row").orderBy("__near_row")           # equal rows: any one of them
-    return rows.withColumn("__near_nth", F.row_number().over(one)).filter("__near_nth = 1").select(*names)
+    first = keyed.join(twins, "__near_row", "left_semi").withColumn("__near_nth", F.row_number().over(one)).filter("__near_nth = 1")
+    return kept.unionByName(first.drop("__near_row", "__near_nth"))
 
 
 def op9_near_duplicates(spark, sf_dir) -> DataFrame:
