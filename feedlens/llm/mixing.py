@@ -30,7 +30,7 @@ from feedlens.llm import common
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
 BLOCKS = 4096
-BLOCKS_PER_SHARD = 256
+SHARD_WORDS = 2_000_000
 MAX_SOURCES = 10_000
 BROADCAST_ROWS = 1_000_000
 SEED = 20_240
@@ -136,7 +136,7 @@ def plan_mix(sized: DataFrame, seed: int = SEED, max_sources: int = MAX_SOURCES)
     for r in drawn.groupBy("__mix_sid").agg(F.count("*").alias("q")).collect():
         quotas[r["__mix_sid"]] = r["q"]
     total = int(quotas.sum())
-    shards = max(1, math.ceil(total / BLOCKS_PER_SHARD))
+    shards = max(1, min(total, math.ceil(sum(aims) / SHARD_WORDS)))        # a shard holds a block at least
     leaves = spark.range(shards if total else 0).transform(
             common.map_arrow,
         partial(_leaves, quotas=quotas, shards=shards, seed=seed), "__mix_sid int, __mix_draw bigint, shard bigint")
