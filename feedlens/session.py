@@ -86,9 +86,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover - connect sessions
-        return int(os.environ.get("BENCH_CPUS", "8"))

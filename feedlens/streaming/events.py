@@ -92,8 +92,8 @@ def rejected_events(raw: DataFrame, secret) -> DataFrame:
 
 
 def issue_events(events: DataFrame) -> DataFrame:
-    """has ``data.id`` and (type mentions ``issue`` in any case, or data.type is ``Issue``)."""
-    return events.filter(F.col("data_id").isNotNull()
+    """has a non-empty ``data.id`` and (type mentions ``issue`` in any case, or data.type is ``Issue``)."""
+    return events.filter((F.col("data_id") != "")
                          & (F.coalesce(F.lower("type").contains("issue"), F.lit(False))
                             | F.coalesce(F.col("data_type") == "Issue", F.lit(False))))
 
