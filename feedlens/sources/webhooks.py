@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.functions.crypto import hmac_sha256_hex
+from feedlens.functions.crypto import hmac_sha256_hex, signing_key
 from feedlens.sources.tables import Tables
 
 # Fixed values of the test feed.
@@ -46,7 +46,7 @@ def deliveries_from_events(spark: SparkSession, sf_dir: str, key: str = TEST_KEY
                     F.col("event_id").cast("string"), own_stamp, F.lit(',"props":'),
                     F.col("props"), closing)
     signed = ev.select(F.col("ts").alias("received_at"), body.alias("_body"), k.alias("_k"))
-    sig = hmac_sha256_hex(F.col("_body"), key)
+    sig = hmac_sha256_hex(F.col("_body"), signing_key(spark, key))
     kk = F.col("_k")
     signature = (F.when(kk >= 90, F.upper(sig)).when(kk < 5, F.lit(None).cast("string"))
                  .when(kk.between(40, 44), F.concat(F.lit(" "), sig, F.lit(" ")))
