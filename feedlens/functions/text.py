@@ -41,26 +41,36 @@ def normalize_text(c) -> Column:
     return strip_ws(F.regexp_replace(F.lower(_c(c)), WS_RUNS, " "))
 
 
-def _accent_table() -> tuple[str, str]:
-    """Accented Latin letters and their base letters, generated by the NFKD rule
-    (decompose, drop combining marks) over U+00C0..U+024F, keeping the letters
-    whose stripped form is a single different character."""
-    src, dst = [], []
-    for cp in range(0xC0, 0x250):
+def _accent_table() -> tuple[str, str, dict[str, str]]:
+    """The NFKD rule (decompose, drop combining marks) over the basic plane: characters with
+    one base letter or digit and that base, then the combining marks (``translate`` deletes
+    what has no counterpart); and ligatures of several letters (Hangul syllables stay whole)."""
+    src, dst, marks, several = [], [], [], {}
+    for cp in range(0xA0, 0x10000):
+        if 0xD800 <= cp < 0xE000 or 0xAC00 <= cp < 0xD7A4:
+            continue
         ch = chr(cp)
         base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-        if len(base) == 1 and base != ch:
+        if not base and unicodedata.combining(ch):
+            marks.append(ch)
+        elif len(base) == 1 and base != ch and base.isalnum():
             src.append(ch)
             dst.append(base)
-    return "".join(src), "".join(dst)
+        elif len(base) > 1 and ch.isalpha() and base.isascii() and base.isalpha():
+            several[ch] = base
+    return "".join(src + marks), "".join(dst), several
 
 
-ACCENTED, UNACCENTED = _accent_table()
+ACCENTED, UNACCENTED, LIGATURES = _accent_table()
 
 
 def strip_accents(c) -> Column:
-    """Accent stripping for Latin script as one native ``translate``."""
-    return F.translate(_c(c), ACCENTED, UNACCENTED)
+    """Accent stripping: one native ``translate``; texts with ligatures get them spelled out."""
+    plain = F.translate(_c(c), ACCENTED, UNACCENTED)
+    spelled = plain
+    for ligature, letters in LIGATURES.items():
+        spelled = F.replace(spelled, F.lit(ligature), F.lit(letters))
+    return F.when(plain.rlike("[" + "".join(LIGATURES) + "]"), spelled).otherwise(plain)
 
 
 def tokens(c, accents: bool = True) -> Column:

@@ -5,7 +5,7 @@ operators (no new logic here).
   request CSV (K1).
 * :func:`run_analysis` (§3.2): request file → clean, weight, vectorise, choose K,
   cluster, describe → ``pain_point_summary`` (K2) and the insight report (K4).
-* :func:`workspace_snapshot` (§3.3): open issues → three sections (A4, A5, A6),
+* :func:`workspace_snapshot` (§3.3): open issues → their listing and three counts (A4, A5, A6),
   optionally written as CSV (K3).
 """
 
@@ -20,7 +20,8 @@ from feedlens.operators import issues as ops
 from feedlens.operators.analysis import Analysis, analyze
 from feedlens.operators.cluster import materialize
 from feedlens.operators.requests import all_requests
-from feedlens.sinks.files import write_cluster_examples, write_report, write_requests, write_snapshot
+from feedlens.sinks.files import (write_cluster_examples, write_members, write_report, write_requests,
+                                   write_snapshot)
 from feedlens.sources.feedback import read_feedback
 from feedlens.sources.needs import read_need_docs
 
@@ -41,19 +42,18 @@ def run_analysis(spark: SparkSession, requests_path: str, out_dir: str | None =
                  sep: str | None = None, samples: int = 3, **options) -> Analysis:
     """§3.2: analyse a delimited request file and write the summary and report.
 
-    ``request_id`` is the row key when present; otherwise each row gets a
-    generated id, and the keyed table is checkpointed so the id is stable across
-    recomputation."""
+    ``request_id`` names the rows when present (it may repeat or be null: the analysis
+    then keys rows itself); otherwise ids are null."""
     rows = read_feedback(spark, requests_path, sep)
-    if "request_id" in rows.columns:
-        id_col = "request_id"
-    else:
-        id_col = "_row_id"
-        rows = materialize(rows.withColumn(id_col, F.monotonically_increasing_id()), key=id_col)
+    id_col = "request_id"
+    if id_col not in rows.columns:
+        rows = rows.withColumn(id_col, F.lit(None).cast("string"))
     result = analyze(rows, id_col=id_col, samples=samples, **options)
     if out_dir:
+        result.report = materialize(result.report, persist=False)            # k rows, read three times
         write_cluster_examples(result.report, os.path.join(out_dir, "pain_point_summary"), samples)
         write_report(result.report, os.path.join(out_dir, "insights"))
+        write_members(result.members, os.path.join(out_dir, "members"))
     return result
 
 
@@ -67,6 +67,7 @@ def workspace_snapshot(issues: DataFrame, states: DataFrame, projects: DataFrame
     lite = materialize(ops.issue_lite(ops.open_issues(issues), states, projects, teams, users),
                        persist=False)
     sections = {
+        "issue_listing": ops.snapshot_listing(lite),
         "issues_by_project_state": ops.issues_by_project_state(lite),
         "active_projects": ops.active_project_load(lite, projects),
         "assignee_load": ops.assignee_load(lite),

@@ -19,6 +19,7 @@ from feedlens.functions import scalars as S
 
 # Fixed values.
 ACTIVE_PROJECT_STATES = ("planned", "started")
+LISTING_SECTION = "issues_by_project_state"
 SEARCH_DEFAULT_LIMIT = 200
 SEARCH_MAX_LIMIT = 500
 
@@ -80,6 +81,13 @@ def resolve_user_id(users: DataFrame, email: str):
     return row[0]
 
 
+def resolve_users(users: DataFrame, probes: DataFrame, email_col: str) -> DataFrame:
+    """F10 for a table of e-mails: ``probes`` with ``resolved_id``, the smallest id of the
+    users with that e-mail in any case (null when none)."""
+    targets = users.groupBy(F.lower("email").alias("_e")).agg(F.min("id").alias("resolved_id"))
+    return probes.join(targets, F.lower(email_col) == F.col("_e"), "left").drop("_e")
+
+
 def resolve_team(teams: DataFrame, name: str | None = None) -> DataFrame:
     """Team by name (case-insensitive); no name → the first team."""
     if name is not None:
@@ -87,6 +95,14 @@ def resolve_team(teams: DataFrame, name: str | None = None) -> DataFrame:
     return teams.orderBy("id").limit(1)
 
 
+def resolve_team_id(teams: DataFrame, name: str | None = None):
+    """F10/T8 as a value: the team's id; no such team is an error."""
+    row = resolve_team(teams, name).select("id").first()
+    if row is None:
+        raise LookupError(f"Team not found: {name}" if name is not None else "No teams")
+    return row[0]
+
+
 # -- joins ---------------------------------------------------------------------
 
 def issue_lite(issues: DataFrame, states: DataFrame, projects: DataFrame, teams: DataFrame,
@@ -175,6 +191,16 @@ def issues_by_project_state(open_lite: DataFrame) -> DataFrame:
             .orderBy("project", "state"))
 
 
+def snapshot_listing(open_lite: DataFrame) -> DataFrame:
+    """K3 first section: every open issue under its project and state."""
+    return open_lite.select(
+        F.lit(LISTING_SECTION).alias("section"), S.label_or("project_name", S.NO_PROJECT).alias("project"),
+        S.label_or("state_name", S.NO_STATE, blank_is_missing=True).alias("state"),
+        F.coalesce("identifier", F.lit("")).alias("identifier"), "title",
+        F.coalesce("assignee_name", F.lit(S.UNASSIGNED)).alias("assignee"),
+        F.coalesce("team_name", F.lit("")).alias("team"))
+
+
 def active_project_load(open_lite: DataFrame, projects: DataFrame) -> DataFrame:
     """J6 + A5 + T1: open-issue count per referenced active project (by id).
 
@@ -201,9 +227,9 @@ def assignee_load(open_lite: DataFrame) -> DataFrame:
             .orderBy(F.desc("open_count"), F.collate("assignee_name", "UNICODE")))
 
 
-def issue_total(df: DataFrame) -> DataFrame:
-    """Number of listed issues as a one-row DataFrame."""
-    return df.agg(F.count(F.lit(1)).alias("total"))
+def issue_total(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Number of listed issues, one row (or one row per ``by``)."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("total"))
 
 
 # -- listings, search ------------------------------------------------------------
@@ -224,6 +250,18 @@ def clamp_limit(limit) -> int:
     return int(max(1, min(SEARCH_MAX_LIMIT, value)))
 
 
+def lookup_issues(issues: DataFrame, teams: DataFrame, probes: DataFrame, identifier_col: str) -> DataFrame:
+    """P15 for a table of identifiers: ``probes`` with ``team_key`` and ``number`` parsed from
+    ``TEAM-123`` and ``found_id``, the issue of that team key and number (null when none)."""
+    key, number = S.parse_identifier(F.col(identifier_col))
+    target = (issues.join(teams.select(F.col("id").alias("_tid"), F.col("key").alias("_key")),
+                          F.col("team_id") == F.col("_tid"))
+              .select(F.col("id").alias("found_id"), "_key", F.col("number").alias("_number")))
+    parsed = probes.withColumn("team_key", key).withColumn("number", number)
+    return parsed.join(target, (F.col("team_key") == F.col("_key")) & (F.col("number") == F.col("_number")),
+                       "left").drop("_key", "_number")
+
+
 def search_issues(issues: DataFrame, query: str | None, limit=None,
                   scan_limit: int | None = None) -> DataFrame:
     """F6 + T6 + P15: ``TEAM-123`` looks the issue up by team key and number;

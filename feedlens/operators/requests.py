@@ -8,6 +8,8 @@ one candidate row per task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,9 +59,10 @@ def project_needs(project_docs: DataFrame, host_name: str | None = None) -> Data
 
 
 def _order_key() -> Column:
-    """Deterministic stand-in for scan order: issue-hosted first, then host, then row."""
-    return F.struct(F.col("_src"), F.col("_host"), F.col("request"), F.col("customer"),
-                    F.col("priority"), F.col("source"))
+    """Deterministic stand-in for scan order: issue-hosted first, then host, then the whole row."""
+    first = ["_src", "_host", "request", "customer", "priority", "source"]
+    rest = [c for c in schemas.REQUEST_COLUMNS if c not in first and c != "request_id"]
+    return F.struct(*first, *rest)
 
 
 def dedupe_requests(rows: DataFrame) -> DataFrame:
@@ -70,28 +73,41 @@ def dedupe_requests(rows: DataFrame) -> DataFrame:
     return best.select(*[F.col(f"r.{c}").alias(c) for c in cols])
 
 
+def _some(docs: DataFrame, message: str) -> DataFrame:
+    if docs.isEmpty():
+        raise LookupError(message)
+    return docs
+
+
 def scope_docs(issue_docs: DataFrame, project_docs: DataFrame, scope: dict | None):
     """restrict documents to a scope.
 
     ``{"issue_id": ..}`` or ``{"identifier": "ENG-12"}`` → that issue only, no
     project documents; ``{"project_id": ..}`` or ``{"project_name": ..}`` → issues
     of that project plus its own documents; ``None`` → everything.  An issue
-    scope wins over a project scope."""
+    scope wins over a project scope.  An unknown issue or project name and a
+    malformed identifier are errors (one row at most is read for the check)."""
     scope = scope or {}
     if scope.get("issue_id") is not None:
-        return issue_docs.filter(F.col("id") == F.lit(str(scope["issue_id"]))), None
+        return _some(issue_docs.filter(F.col("id") == F.lit(str(scope["issue_id"]))),
+                     f"Issue id not found: {scope['issue_id']}"), None
     if scope.get("identifier"):
+        if not re.match(S.IDENTIFIER_PATTERN, scope["identifier"]):
+            raise ValueError(f"Invalid issue identifier: {scope['identifier']}. Expected TEAMKEY-123")
         key, number = S.parse_identifier(F.lit(scope["identifier"]))
         d_key, d_no = S.parse_identifier(F.col("identifier"))
-        return issue_docs.filter((d_key == key) & (d_no == number)), None
+        return _some(issue_docs.filter((d_key == key) & (d_no == number)),
+                     f"No issue found for {scope['identifier']}"), None
     if scope.get("project_id") is not None:
         pid = str(scope["project_id"])
         return (issue_docs.filter(F.col("project.id") == pid),
-                project_docs.filter(F.col("id") == pid))
+                project_docs.filter(F.col("id") == pid) if project_docs is not None else None)
     if scope.get("project_name") is not None:
         # exact name; the first matching project (smallest id) wins
-        first = (project_docs.filter(F.col("name") == scope["project_name"])
-                 .agg(F.min("id").alias("_pid")))
+        if project_docs is None:
+            raise ValueError("a project name needs project documents")
+        first = (_some(project_docs.filter(F.col("name") == scope["project_name"]),
+                       f"Project not found: {scope['project_name']}").agg(F.min("id").alias("_pid")))
         pd_ = project_docs.join(first, project_docs.id == first._pid, "left_semi")
         idocs = issue_docs.join(first, issue_docs["project.id"] == first._pid, "left_semi")
         return idocs, pd_

@@ -32,7 +32,8 @@ CORPUS_LEXICON = (
     ("Configuration/Usability", r"zzz"),
 )
 SAMPLES = 3
-PROMPT_LINES = 5
+PROMPT_LINES = 20
+PROMPT_BUCKET_LINES = 500
 
 
 def _members(spark, sf_dir):
@@ -99,20 +100,52 @@ SELECT lang, text AS representative FROM r WHERE rn = 1"""
 # -- cluster_prompts: P24 -----------------------------------------------------------------
 def cluster_prompts(spark, sf_dir):
     m = _members(spark, sf_dir)
-    return R.cluster_prompts(m, "lang", "_text", None, PROMPT_LINES, order_col="doc_id")
+    return R.cluster_prompts(m, "lang", "_text", None, PROMPT_LINES, "doc_id", PROMPT_BUCKET_LINES)
 
 
 _head, _tail = R.DEFAULT_PROMPT.split("{joined}")
 QUERIES["cluster_prompts"] = cluster_prompts
 ORACLES["cluster_prompts"] = with_views(["feedback"], "") + ", " + _MEMBERS_SQL.strip() + f""",
-r AS (SELECT lang, text, row_number() OVER (PARTITION BY lang ORDER BY length(text), text, doc_id) AS rank
+b AS (SELECT lang, text, doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT)
+             % CAST(ceil(count(*) OVER (PARTITION BY lang) / {PROMPT_BUCKET_LINES}) AS BIGINT) AS bucket
       FROM m),
-j AS (SELECT lang, count(*) AS n_lines, string_agg('- ' || text, chr(10) ORDER BY rank) AS joined
-      FROM r WHERE rank <= {PROMPT_LINES} GROUP BY lang)
-SELECT lang, n_lines, {_sql_str(_head)} || joined || {_sql_str(_tail)} || {_sql_str(R.PROMPT_SUFFIX)} AS prompt
+r AS (SELECT lang, bucket, text, row_number() OVER (PARTITION BY lang, bucket ORDER BY length(text), text, doc_id) AS rank
+      FROM b),
+j AS (SELECT lang, bucket, CAST(ceil(rank / {PROMPT_LINES}) AS BIGINT) AS part, count(*) AS n_lines,
+             string_agg('- ' || text, chr(10) ORDER BY rank) AS joined
+      FROM r GROUP BY 1, 2, 3)
+SELECT lang, bucket, part, n_lines, {_sql_str(_head)} || joined || {_sql_str(_tail)} || {_sql_str(R.PROMPT_SUFFIX)} AS prompt
 FROM j"""
 
 
+# -- cluster_members: K2 K4, every row of a group -------------------------------------------
+def cluster_members(spark, sf_dir):
+    m = _members(spark, sf_dir)
+    sizes = m.groupBy("lang").agg(F.count(F.lit(1)).alias("count"))
+    return R.cluster_members(m, R.ranked(sizes, "lang"), "lang", "doc_id", "line")
+
+
+QUERIES["cluster_members"] = cluster_members
+ORACLES["cluster_members"] = with_views(["feedback"], "") + ", " + _MEMBERS_SQL.strip() + """,
+k AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) AS rank FROM m GROUP BY lang)
+SELECT CAST(k.rank AS INTEGER) AS rank, m.lang, m.doc_id, m.line FROM m JOIN k ON m.lang = k.lang"""
+
+
+# -- parsed_json_replies: P25, the JSON branch over every turn --------------------------------
+def parsed_json_replies(spark, sf_dir):
+    turn = F.col("turn").cast("string")
+    reply = F.concat(F.lit('Answer: {"title": " Turn '), turn, F.lit('", "summary": "'), F.col("role"),
+                     F.lit('", "representative": "'), F.col("conv_id").cast("string"), F.lit('"} end'))
+    conv = Tables(spark, sf_dir).conversations.select("conv_id", "turn", reply.alias("reply"))
+    return R.parse_replies(conv, "reply").drop("reply")
+
+
+QUERIES["parsed_json_replies"] = parsed_json_replies
+ORACLES["parsed_json_replies"] = """
+SELECT conv_id, turn, 'Turn ' || CAST(turn AS VARCHAR) AS title, role AS summary,
+       CAST(conv_id AS VARCHAR) AS representative FROM conversations"""
+
+
 # -- parsed_replies: P25 P26 (assistant turns of conversations) -----------------------------
 def parsed_replies(spark, sf_dir):
     conv = Tables(spark, sf_dir).conversations

@@ -50,6 +50,24 @@ WHERE i.archived_at IS NULL AND i.updated_at > {_CUTOFF_SQL}
 GROUP BY i.assignee_id, coalesce(s.name, '(No State)')""")
 
 
+# -- filtered_state_counts: A2 after the label and state filters ------------------
+def filtered_state_counts(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    fetched = ops.with_state(ops.assignee_issues(v.issues, since=CUTOFF), v.states, STATE)
+    return ops.state_counts(ops.with_label(fetched, v.issue_labels, v.labels, LABEL), by=("assignee_id",))
+
+
+QUERIES["filtered_state_counts"] = filtered_state_counts
+ORACLES["filtered_state_counts"] = with_views(["issues", "states", "labels", "issue_labels"], f"""
+SELECT i.assignee_id, coalesce(s.name, '(No State)') AS state_name, count(*) AS issue_count
+FROM issues i LEFT JOIN states s ON i.state_id = s.id
+WHERE i.archived_at IS NULL AND i.updated_at > {_CUTOFF_SQL}
+  AND lower(coalesce(s.name, '(No State)')) = '{STATE.lower()}'
+  AND i.id IN (SELECT il.issue_id FROM issue_labels il JOIN labels lb ON il.label_id = lb.id
+               WHERE lower(lb.name) = lower('{LABEL}'))
+GROUP BY 1, 2""")
+
+
 # -- issue_match_totals: A3 J5 F5 -------------------------------------------------
 def issue_match_totals(spark, sf_dir):
     v = _views(spark, sf_dir)
@@ -109,6 +127,19 @@ SELECT coalesce(project_name, '(No Project)') AS project,
 FROM open_lite GROUP BY 1, 2""")
 
 
+# -- snapshot_listing: K3, the rows of the first section --------------------------
+def snapshot_listing(spark, sf_dir):
+    return ops.snapshot_listing(_open_lite(_views(spark, sf_dir)))
+
+
+QUERIES["snapshot_listing"] = snapshot_listing
+ORACLES["snapshot_listing"] = with_views(["open_lite"], """
+SELECT 'issues_by_project_state' AS section, coalesce(project_name, '(No Project)') AS project,
+       coalesce(nullif(state_name, ''), '(No State)') AS state, coalesce(identifier, '') AS identifier, title,
+       coalesce(assignee_name, '(unassigned)') AS assignee, coalesce(team_name, '') AS team
+FROM open_lite""")
+
+
 # -- active_project_load: F7 J6 A5 A12 T1 --------------------------------------------
 def active_project_load(spark, sf_dir):
     v = _views(spark, sf_dir)
@@ -175,17 +206,9 @@ ORDER BY id LIMIT 200""")
 def issue_lookup(spark, sf_dir):
     """Every issue looked up by its own lower-cased identifier: parse → (key, number) →
     equi-join on (team key, number).  Exercises P15 over the whole table."""
-    from feedlens.functions.scalars import parse_identifier
     v = _views(spark, sf_dir)
-    probes = v.issues.select(F.col("id").alias("probe_id"),
-                             F.lower("identifier").alias("probe"))
-    key, number = parse_identifier(F.col("probe"))
-    probes = probes.select("probe_id", key.alias("team_key"), number.alias("number"))
-    target = (v.issues.join(v.teams.select(F.col("id").alias("_tid"), F.col("key").alias("team_key")),
-                            F.col("team_id") == F.col("_tid"))
-              .select(F.col("id").alias("found_id"), "team_key", "number"))
-    return probes.join(target, ["team_key", "number"], "left").select(
-        "probe_id", "team_key", "number", "found_id")
+    probes = v.issues.select(F.col("id").alias("probe_id"), F.lower("identifier").alias("probe"))
+    return ops.lookup_issues(v.issues, v.teams, probes, "probe").drop("probe")
 
 
 QUERIES["issue_lookup"] = issue_lookup
@@ -243,8 +266,7 @@ SELECT id, coalesce(name, '(Unnamed Project)') AS name FROM projects""")
 # -- assignee_issue_totals: F4 A13 (listing totals, archived included) ------------------
 def assignee_issue_totals(spark, sf_dir):
     v = _views(spark, sf_dir)
-    listed = ops.assignee_issues(v.issues, include_archived=True)
-    return listed.groupBy("assignee_id").agg(F.count(F.lit(1)).alias("total"))
+    return ops.issue_total(ops.assignee_issues(v.issues, include_archived=True), by=("assignee_id",))
 
 
 QUERIES["assignee_issue_totals"] = assignee_issue_totals
@@ -258,10 +280,7 @@ def user_resolution(spark, sf_dir):
     equi-join on ``lower(email)``; duplicates resolve to the smallest id."""
     v = _views(spark, sf_dir)
     probes = v.users.select(F.col("id").alias("probe_id"), F.upper("email").alias("probe"))
-    targets = (v.users.groupBy(F.lower("email").alias("_e"))
-               .agg(F.min("id").alias("resolved_id")))
-    return (probes.join(targets, F.lower("probe") == F.col("_e"), "left")
-            .select("probe_id", "resolved_id"))
+    return ops.resolve_users(v.users, probes, "probe").drop("probe")
 
 
 QUERIES["user_resolution"] = user_resolution

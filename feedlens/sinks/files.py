@@ -50,6 +50,11 @@ def write_cluster_examples(report: DataFrame, path: str, samples: int = 3,
      .option("header", True).option("escape", '"').csv(path))
 
 
+def write_members(members: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """K2/K4: every row of every cluster (rank, cluster, id, line), many part files."""
+    members.write.mode(mode).format(fmt).save(path)
+
+
 def write_snapshot(sections: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:
     """K3: the workspace snapshot, one CSV directory per section
     (``section=issues_by_project_state``, ``section=active_projects``, ...)."""
