@@ -27,7 +27,6 @@ from feedlens.llm import common
 KINDS = ("email", "ip", "card", "phone")
 MIN_SUPPORT = 3
 MIN_CONFIDENCE = 0.8
-ROUNDS = 4
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -157,9 +156,10 @@ def extract(docs: DataFrame, keep: list[str]) -> DataFrame:
         partial(_extract, keep=keep), f"{schema}__pii_key binary, __pii_base {_SPANS}, __pii_mentions {_MENTIONS}"), "pii-mentions")
 
 
-def discover(extracted: DataFrame, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-             rounds: int = ROUNDS) -> DataFrame:
-    """(kind, instance) of the candidates that accepted patterns promote, with their score."""
+def discover(extracted: DataFrame, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """(kind, instance) of the candidates that accepted patterns promote, with their score.
+
+    Promoted candidates stay promoted, so the rounds end: each adds one at least or is the last."""
     spark = extracted.sparkSession
     # one edge per pattern, instance and kind: copies of a text count once, hot patterns shrink
     edges = common.written(extracted.select(F.explode("__pii_mentions").alias("m")).select("m.v", "m.k", "m.form", F.explode("m.p").alias("p"))
@@ -168,8 +168,8 @@ def discover(extracted: DataFrame, min_support: int = MIN_SUPPORT, min_confidenc
     open_edges = edges.filter("k < 0 and form > 0").select("p", "v", "form", kinds).filter(
         F.expr("shiftright(form, kind) & 1 = 1"))
     known = spark.createDataFrame([], "kind int, v bigint, score double")
-    before = 0
-    for turn in range(rounds):
+    before = turn = 0
+    while True:
         promoted = edges.filter("k < 0").join(known, "v").select("p", "v", "kind")
         seeds = edges.filter("k >= 0").select("p", "v", F.col("k").alias("kind")).unionByName(promoted)
         support = seeds.groupBy("p", "kind").agg(F.countDistinct("v").alias("n_known"))
@@ -183,9 +183,8 @@ def discover(extracted: DataFrame, min_support: int = MIN_SUPPORT, min_confidenc
         n = now.count()
         known = now
         if n == before:
-            break
-        before = n
-    return known
+            return known
+        before, turn = n, turn + 1
 
 
 def extra_spans(extracted: DataFrame, known: DataFrame) -> DataFrame:
