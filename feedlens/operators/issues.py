@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions import scalars as S
@@ -169,10 +169,13 @@ def issue_listing(issues: DataFrame, states: DataFrame, users: DataFrame,
 # -- aggregates ------------------------------------------------------------------
 
 def state_counts(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """A2 + T2: matching issues per state name, count desc then state."""
-    keys = [*by, "state_name"]
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("issue_count"))
-            .orderBy(*by, F.desc("issue_count"), "state_name"))
+    """A2 + T2: matching issues per state name, count desc then state.  With ``by`` the order
+    is a ``rank`` inside each ``by`` group instead of one sort over all of them."""
+    counts = df.groupBy(*by, "state_name").agg(F.count(F.lit(1)).alias("issue_count"))
+    order = [F.desc("issue_count"), F.asc("state_name")]
+    if not by:
+        return counts.orderBy(*order)
+    return counts.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
 
 
 def match_totals(fetched: DataFrame, matched_flag, by: tuple[str, ...] = ()) -> DataFrame:
@@ -221,9 +224,10 @@ def assignee_load(open_lite: DataFrame) -> DataFrame:
     first issue seen, count desc then name."""
     key = F.coalesce(F.col("assignee_id").cast("string"), F.lit(S.UNASSIGNED))
     name = S.label_or("assignee_name", S.UNASSIGNED)
-    return (open_lite.groupBy(key.alias("assignee"))
-            .agg(F.min_by(name, F.col("id")).alias("assignee_name"),
-                 F.count(F.lit(1)).alias("open_count"))
+    named = (open_lite.groupBy(key.alias("assignee"), name.alias("_name"))     # hash aggregate, one row
+             .agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("_n")))  # per assignee and name
+    return (named.groupBy("assignee")
+            .agg(F.min_by("_name", "_first").alias("assignee_name"), F.sum("_n").alias("open_count"))
             .orderBy(F.desc("open_count"), F.collate("assignee_name", "UNICODE")))
 
 

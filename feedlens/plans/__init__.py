@@ -3,9 +3,9 @@ result is expressible in SQL, to an equivalent DuckDB/ANSI SQL oracle."""
 
 from __future__ import annotations
 
-from feedlens.plans import clusters, events, requests, text, tracker
+from feedlens.plans import clusters, events, requests, roundtrips, text, tracker
 
-_MODULES = [tracker, requests, text, clusters, events]
+_MODULES = [tracker, requests, text, clusters, events, roundtrips]
 
 
 def queries() -> dict:

@@ -2,20 +2,24 @@
 
 The k-means queries (``cluster_*``, ``choose_k``, ``cluster_report``) have no SQL
 oracle: the fit is iterative and its labels are engine-specific, so they are
-checked by row counts here and by invariants in the tests.  The description
+checked by row counts, by ``embedding_fit_checks`` (what holds for any right fit, in
+SQL) and by invariants in the tests.  The description
 operators are checked in SQL with ``documents.lang`` standing in for the
 cluster label, and the reply parser on the assistant turns of ``conversations``.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import clean_text
 from feedlens.operators import analysis as AN
 from feedlens.operators import cluster as C
 from feedlens.operators import report as R
+from feedlens.operators.text import TERMS_MAX_DF
 from feedlens.plans.oracle_views import with_views
+from feedlens.plans.text import tfidf_sql_ctes
 from feedlens.sources.feedback import feedback_from_tables
 from feedlens.sources.tables import Tables
 
@@ -66,11 +70,11 @@ _flags = [(R._flag_name(label), pat, label) for label, pat in CORPUS_LEXICON]
 ORACLES["intents"] = with_views(["feedback"], "") + ", " + _MEMBERS_SQL.strip() + """,
 g AS (SELECT lang, """ + ",\n       ".join(
     f"bool_or(regexp_matches(lower(text), '{pat}')) AS {name}" for name, pat, _ in _flags) + """,
-       bool_or(contains(lower(text), 'bug') OR contains(lower(text), 'not working')) AS frustrated
+       bool_or(""" + " OR ".join(f"contains(lower(text), '{cue}')" for cue in R.FRUSTRATION_CUES) + """) AS frustrated
       FROM m GROUP BY lang)
 SELECT *, concat_ws(', ', """ + ", ".join(
     f"CASE WHEN {name} THEN '{label}' END" for name, _, label in _flags) + """) AS intents,
-       CASE WHEN frustrated THEN 'frustration' ELSE 'a desire for capability/clarity' END AS tone
+       CASE WHEN frustrated THEN '""" + R.TONE_FRUSTRATION + "' ELSE '" + R.TONE_DESIRE + """' END AS tone
 FROM g"""
 
 
@@ -191,6 +195,103 @@ SELECT q.conv_id, q.turn,
 FROM q LEFT JOIN d ON q.conv_id = d.conv_id AND d.rn = 1"""
 
 
+# -- described_groups: A8 T3 T4 M8-M10 P20-P23 P25 P26, languages in the place of clusters ----
+def _described(spark, sf_dir):
+    fb = feedback_from_tables(spark, sf_dir)
+    rows = (fb.withColumn("_text", clean_text("request")).filter(F.col("_text").isNotNull())
+            .withColumn("_row", F.col("doc_id")))
+    assignment = rows.select(F.col("_row").alias("doc_id"), F.col("lang").alias("cluster"))
+    replies = (assignment.groupBy("cluster").agg(F.min("doc_id").alias("_first"))
+               .select("cluster", F.when(F.col("_first") % 2 == 0, F.concat(
+                   F.lit('{"title": "Group '), F.col("cluster"), F.lit('", "summary": " "}'))).alias("reply")))
+    return AN.describe(rows, assignment, "request", samples=SAMPLES, replies=replies)
+
+
+def described_groups(spark, sf_dir):
+    report, _ = _described(spark, sf_dir)
+    return report.withColumns({c: F.array_join(c, " | ") for c in ("terms", "examples")})
+
+
+_stock = [(pattern.replace("'", "''"), label) for label, pattern in R.STOCK_INTENTS]
+_cues = " OR ".join(f"contains(lower(text), '{cue}')" for cue in R.FRUSTRATION_CUES)
+_before, _rest = R.SUMMARY_TEMPLATE.split("{terms}")
+_between, _rest = _rest.split("{intents}")
+_ahead, _after = _rest.split("{tone}")
+_DESCRIBED_SQL = with_views(["feedback"], "") + ", " + _MEMBERS_SQL.strip() + "," + \
+    tfidf_sql_ctes((TERMS_MAX_DF,)) + f""",
+sizes AS (SELECT lang, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, lang) AS rank,
+                 min(doc_id) AS first FROM m GROUP BY lang),
+sums AS (SELECT m.lang, t.term, sum(t.tfidf) AS s FROM tfidf t JOIN m ON t.doc_id = m.doc_id GROUP BY 1, 2),
+best AS (SELECT s.lang, s.term, row_number() OVER (PARTITION BY s.lang ORDER BY round(s.s / z.count, 9) DESC, s.term) AS r
+         FROM sums s JOIN sizes z ON s.lang = z.lang),
+terms8 AS (SELECT lang, list(term ORDER BY r) AS t FROM best WHERE r <= 8 GROUP BY lang),
+flags AS (SELECT lang, concat_ws(', ', """ + ", ".join(
+    f"CASE WHEN bool_or(regexp_matches(lower(text), '{p}')) THEN '{label}' END" for p, label in _stock) + f""") AS intents,
+                 CASE WHEN bool_or({_cues}) THEN '{R.TONE_FRUSTRATION}' ELSE '{R.TONE_DESIRE}' END AS tone
+          FROM m GROUP BY lang),
+short AS (SELECT lang, line, row_number() OVER (PARTITION BY lang ORDER BY length(line), line) AS r
+          FROM (SELECT DISTINCT lang, line FROM m) d),
+ex AS (SELECT lang, string_agg(line, ' | ' ORDER BY r) AS examples FROM short WHERE r <= {SAMPLES} GROUP BY lang),
+rep AS (SELECT lang, text, row_number() OVER (PARTITION BY lang ORDER BY length(text), text) AS r FROM m)
+SELECT CAST(z.rank AS INTEGER) AS rank, z.lang AS cluster, z.count,
+       array_to_string(t.t, ' | ') AS terms, ex.examples,
+       '{_before}' || coalesce(array_to_string(t.t[1:{R.SUMMARY_TERMS}], ', '), '{R.NO_TERMS}') || '{_between}'
+         || coalesce(nullif(f.intents, ''), '{R.NO_INTENT}') || '{_ahead}' || f.tone || '{_after}' AS summary,
+       CASE WHEN z.first % 2 = 0 THEN 'Group ' || z.lang
+            ELSE '{R.TITLE_PREFIX}: ' || array_to_string(t.t[1:{R.TITLE_TERMS}], ', ') END AS title,
+       rep.text AS representative
+FROM sizes z JOIN terms8 t ON z.lang = t.lang JOIN flags f ON z.lang = f.lang JOIN ex ON z.lang = ex.lang
+JOIN rep ON z.lang = rep.lang AND rep.r = 1"""
+QUERIES["described_groups"] = described_groups
+ORACLES["described_groups"] = _DESCRIBED_SQL
+
+
+# -- clean_embeddings: M3, a NaN and an infinity put into each vector --------------------------
+def clean_embeddings(spark, sf_dir):
+    emb = Tables(spark, sf_dir).embeddings
+    at = F.pmod("vec_id", F.size("embedding"))
+    spoilt = F.transform("embedding", lambda x, i: F.when(i == at, F.lit(float("nan")))
+                         .when(i == at + 1, F.lit(float("-inf"))).otherwise(x.cast("double")))
+    clean = emb.select("vec_id", C.clean_embedding(spoilt).alias("v"))
+    return clean.select("vec_id", F.size(F.filter("v", lambda x: x == 0)).cast("bigint").alias("n_zero"),
+                        F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
+
+
+QUERIES["clean_embeddings"] = clean_embeddings
+ORACLES["clean_embeddings"] = """
+WITH v AS (SELECT vec_id, list_transform(range(0, len(embedding)), lambda i:
+                    CASE WHEN i = vec_id % len(embedding) OR i = vec_id % len(embedding) + 1 THEN 0.0::DOUBLE
+                         ELSE embedding[i + 1]::DOUBLE END) AS v FROM embeddings)
+SELECT vec_id, len(list_filter(v, lambda x: x = 0)) AS n_zero, round(list_sum(v), 6) AS total FROM v"""
+
+
+# -- embedding_fit_checks: M4-M6 J11, what holds for any right fit ------------------------------
+def embedding_fit_checks(spark, sf_dir):
+    """Rows in and out, rows not at their nearest centre, and centres off the mean of their
+    rows by more than 0.01 in any coordinate.  The k centres enter as literals."""
+    feats = C.materialize(C.embedding_features(Tables(spark, sf_dir).embeddings, "vec_id", "embedding"))
+    n = feats.count()
+    auto_k, _ = C.choose_k(feats, n=n)
+    pred, model = C.cluster(feats, C.k_policy(n, None, auto_k))
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    far = [F.aggregate(F.zip_with("v", F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                       lambda s, x: s + x) for c in centres]
+    rows = pred.select("id", "cluster", vector_to_array("features").alias("v")).withColumn("far", F.array(*far))
+    misplaced = F.get("far", F.col("cluster")) > F.array_min("far") + 1e-9
+    means = (rows.select("cluster", F.posexplode("v")).groupBy("cluster", "pos").agg(F.avg("col").alias("mean"))
+             .withColumn("centre", F.get(F.get(F.array(*[F.array(*map(F.lit, c)) for c in centres]), F.col("cluster")),
+                                         F.col("pos"))))
+    off = means.filter(F.abs(F.col("mean") - F.col("centre")) > 0.01).select(F.count(F.lit(1))).scalar()
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"),
+                    F.count_if(misplaced).alias("n_misplaced")).withColumn("n_centres_off", off)
+
+
+QUERIES["embedding_fit_checks"] = embedding_fit_checks
+ORACLES["embedding_fit_checks"] = """
+SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_ids, 0::BIGINT AS n_misplaced, 0::BIGINT AS n_centres_off
+FROM embeddings"""
+
+
 # -- k-means queries (rows-only check) ------------------------------------------------------
 def cluster_embeddings(spark, sf_dir):
     emb = Tables(spark, sf_dir).embeddings

@@ -94,6 +94,17 @@ WHERE v.data_id IS NOT NULL
   AND (coalesce(contains(lower(v.type), 'issue'), false) OR coalesce(v.data_type = 'Issue', false))"""
 
 
+# -- event_page: T9 without a limit, every event with its place -----------------------------------
+def event_page(spark, sf_dir):
+    return ev.numbered_events(ev.verified_events(_raw(spark, sf_dir), TEST_KEY))
+
+
+QUERIES["event_page"] = event_page
+ORACLES["event_page"] = ("WITH " + _DELIVERIES + """
+SELECT *, CAST(received_at AS DATE) AS day, row_number() OVER (
+            PARTITION BY CAST(received_at AS DATE) ORDER BY received_at DESC, body DESC) AS place FROM verified""")
+
+
 # -- latest_events: T9 ------------------------------------------------------------------------
 def latest_events(spark, sf_dir):
     return ev.latest_events(ev.verified_events(_raw(spark, sf_dir), TEST_KEY), LATEST)

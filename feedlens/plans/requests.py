@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import clean_text, normalize_text
-from feedlens.functions.weights import with_weights
+from feedlens.functions.weights import URGENT_PRIORITIES, weights_or_ones, with_weights
 from feedlens.operators import requests as rq
+from feedlens.operators.text import TEXT_NAME_HINT
 from feedlens.operators.text import text_column_scores as _scores
 from feedlens.plans.oracle_views import with_views
 from feedlens.sources import needs
@@ -64,17 +67,54 @@ def request_weights(spark, sf_dir):
 
 
 QUERIES["request_weights"] = request_weights
-ORACLES["request_weights"] = with_views(["feedback"], """
+_URGENT_SQL = ", ".join(f"'{p}'" for p in URGENT_PRIORITIES)
+ORACLES["request_weights"] = with_views(["feedback"], f"""
 SELECT doc_id, trim(priority) AS priority,
        coalesce(TRY_CAST(customer_revenue AS DOUBLE), 0.0) AS customer_revenue,
        coalesce(TRY_CAST(customer_size AS DOUBLE), 0.0) AS customer_size,
-       round((CASE WHEN lower(trim(priority)) IN ('1', 'high', 'priority', 'p', 'urgent', 'true', 'important')
+       round((CASE WHEN lower(trim(priority)) IN ({_URGENT_SQL})
                    THEN 5.0 ELSE 1.0 END)
              * ln(1 + ln(1 + greatest(coalesce(TRY_CAST(customer_revenue AS DOUBLE), 0.0), 0.0)))
              * (1 + ln(1 + greatest(coalesce(TRY_CAST(customer_size AS DOUBLE), 0.0), 0.0))), 6) AS weight
 FROM feedback""")
 
 
+# -- fit_weights: P10 on the computed weights and on all-zero ones ---------------------------
+def fit_weights(spark, sf_dir):
+    fb = with_weights(feedback_from_tables(spark, sf_dir)).select("doc_id", "weight", F.lit(0.0).alias("zero"))
+    used, weighted = weights_or_ones(fb)
+    ones, _ = weights_or_ones(used, "zero")
+    return ones.select("doc_id", F.round("weight", 6).alias("weight"), F.col("zero").alias("zero_weight"),
+                       F.lit(weighted).alias("weighted"))
+
+
+QUERIES["fit_weights"] = fit_weights
+ORACLES["fit_weights"] = f"""
+WITH w AS ({ORACLES["request_weights"]})
+SELECT doc_id, weight, 1.0::DOUBLE AS zero_weight,
+       (SELECT max(weight) > 0 AND min(weight) <> max(weight) FROM w) AS weighted
+FROM w"""
+
+
+# -- scoped_requests: F2, one project by name ------------------------------------------------
+SCOPE_PROJECT = "NATION_7"
+
+
+def scoped_requests(spark, sf_dir):
+    return rq.all_requests(needs.issue_need_docs(spark, sf_dir), needs.project_need_docs(spark, sf_dir),
+                           {"project_name": SCOPE_PROJECT})
+
+
+QUERIES["scoped_requests"] = scoped_requests
+ORACLES["scoped_requests"] = with_views(["issue_requests", "project_requests"], f"""
+SELECT {REQUEST_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY request_id
+                               ORDER BY _src, _host, request, customer, priority, source) AS rn
+  FROM (SELECT * FROM issue_requests UNION ALL SELECT * FROM project_requests) u
+  WHERE project = '{SCOPE_PROJECT}') r
+WHERE rn = 1""")
+
+
 # -- clean_texts: P2 P5 F12 -----------------------------------------------------------
 def clean_texts(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
@@ -96,11 +136,8 @@ def text_column_scores(spark, sf_dir):
     return _scores(Tables(spark, sf_dir).documents)
 
 
-_NAME_HINT = "request|text|feedback|comment|desc|message|notes|issue|content"
-
-
 def _score_sql(col: str) -> str:
-    bonus = "5.0" if __import__("re").search(_NAME_HINT, col) else "0.0"
+    bonus = "5.0" if re.search(TEXT_NAME_HINT, col) else "0.0"
     return f"""SELECT '{col}' AS column_name, count({col}) AS n_nonnull,
        round(count({col}) * 1.0 / greatest(count(*), 1), 6) AS frac_nonnull,
        round(coalesce(avg(length(CAST({col} AS VARCHAR))), 0.0), 6) AS avg_len,

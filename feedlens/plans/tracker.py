@@ -21,6 +21,7 @@ SEARCH = "urgent"
 
 CUTOFF = since_cutoff(NOW, SINCE_DAYS)
 _CUTOFF_SQL = f"TIMESTAMP '{CUTOFF:%Y-%m-%d %H:%M:%S}'"
+_RANK_SQL = "row_number() OVER (PARTITION BY assignee_id ORDER BY issue_count DESC, state_name) AS rank"
 _NOW_SQL = f"TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}'"
 
 QUERIES: dict = {}
@@ -38,41 +39,43 @@ def _open_lite(v: TrackerViews) -> DataFrame:
 # -- issue_state_counts: F3 F5 P16 A2 T2 ----------------------------------------
 def issue_state_counts(spark, sf_dir):
     v = _views(spark, sf_dir)
-    mine = ops.assignee_issues(v.issues, include_archived=False, since=CUTOFF)
+    mine = ops.assignee_issues(v.issue_facts, include_archived=False, since=CUTOFF)
     return ops.state_counts(ops.with_state(mine, v.states), by=("assignee_id",))
 
 
 QUERIES["issue_state_counts"] = issue_state_counts
 ORACLES["issue_state_counts"] = with_views(["issues", "states"], f"""
-SELECT i.assignee_id, coalesce(s.name, '(No State)') AS state_name, count(*) AS issue_count
-FROM issues i LEFT JOIN states s ON i.state_id = s.id
-WHERE i.archived_at IS NULL AND i.updated_at > {_CUTOFF_SQL}
-GROUP BY i.assignee_id, coalesce(s.name, '(No State)')""")
+SELECT *, {_RANK_SQL} FROM (
+  SELECT i.assignee_id, coalesce(s.name, '(No State)') AS state_name, count(*) AS issue_count
+  FROM issues i LEFT JOIN states s ON i.state_id = s.id
+  WHERE i.archived_at IS NULL AND i.updated_at > {_CUTOFF_SQL}
+  GROUP BY i.assignee_id, coalesce(s.name, '(No State)')) c""")
 
 
 # -- filtered_state_counts: A2 after the label and state filters ------------------
 def filtered_state_counts(spark, sf_dir):
     v = _views(spark, sf_dir)
-    fetched = ops.with_state(ops.assignee_issues(v.issues, since=CUTOFF), v.states, STATE)
+    fetched = ops.with_state(ops.assignee_issues(v.issue_facts, since=CUTOFF), v.states, STATE)
     return ops.state_counts(ops.with_label(fetched, v.issue_labels, v.labels, LABEL), by=("assignee_id",))
 
 
 QUERIES["filtered_state_counts"] = filtered_state_counts
 ORACLES["filtered_state_counts"] = with_views(["issues", "states", "labels", "issue_labels"], f"""
+SELECT *, {_RANK_SQL} FROM (
 SELECT i.assignee_id, coalesce(s.name, '(No State)') AS state_name, count(*) AS issue_count
 FROM issues i LEFT JOIN states s ON i.state_id = s.id
 WHERE i.archived_at IS NULL AND i.updated_at > {_CUTOFF_SQL}
   AND lower(coalesce(s.name, '(No State)')) = '{STATE.lower()}'
   AND i.id IN (SELECT il.issue_id FROM issue_labels il JOIN labels lb ON il.label_id = lb.id
                WHERE lower(lb.name) = lower('{LABEL}'))
-GROUP BY 1, 2""")
+GROUP BY 1, 2) c""")
 
 
 # -- issue_match_totals: A3 J5 F5 -------------------------------------------------
 def issue_match_totals(spark, sf_dir):
     v = _views(spark, sf_dir)
-    fetched = ops.with_state(ops.assignee_issues(v.issues, since=CUTOFF), v.states)
-    tagged = (ops.with_label(v.issues.select("id"), v.issue_labels, v.labels, LABEL)
+    fetched = ops.with_state(ops.assignee_issues(v.issue_facts, since=CUTOFF), v.states)
+    tagged = (ops.with_label(v.issue_facts.select("id"), v.issue_labels, v.labels, LABEL)
               .select(F.col("id").alias("_tagged")))
     flagged = fetched.join(tagged, fetched.id == tagged._tagged, "left")
     matched = F.col("_tagged").isNotNull() & (F.lower("state_name") == STATE.lower())
@@ -266,7 +269,7 @@ SELECT id, coalesce(name, '(Unnamed Project)') AS name FROM projects""")
 # -- assignee_issue_totals: F4 A13 (listing totals, archived included) ------------------
 def assignee_issue_totals(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return ops.issue_total(ops.assignee_issues(v.issues, include_archived=True), by=("assignee_id",))
+    return ops.issue_total(ops.assignee_issues(v.issue_facts, include_archived=True), by=("assignee_id",))
 
 
 QUERIES["assignee_issue_totals"] = assignee_issue_totals

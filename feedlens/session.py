@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Conf keys we set only when the deployment did not set them already.
 _DEFAULTS = {
@@ -86,3 +87,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder, unique to this call."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet into the shared checkpoint folder and read back.
+
+    Cuts the lineage as ``checkpoint()`` does, but the table is columnar (a reader takes only
+    the columns it needs) and its size is known to the planner."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

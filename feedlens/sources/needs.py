@@ -18,7 +18,7 @@ spread over many tasks, and a recomputed task produces the same pages.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import schemas
@@ -26,6 +26,9 @@ from feedlens.sources.tables import Tables
 from feedlens.sources.tracker import TrackerViews
 
 PAGE_SIZE = 50
+# Columns whose hash deals the rows of a host to its pages.
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+PART_KEY = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
 
 
 def read_need_docs(spark: SparkSession, path: str, kind: str = "issue",
@@ -36,13 +39,12 @@ def read_need_docs(spark: SparkSession, path: str, kind: str = "issue",
     return reader.json(path) if fmt == "json" else reader.format(fmt).load(path)
 
 
-def _paged(flat: DataFrame, host: str, row_hash: list[Column], page_size: int) -> DataFrame:
-    """Page number per need: ``hash(need) mod ceil(n_host / page_size)``.  The host
-    counts are a partial aggregate joined back null-safely (needs without a host
-    are kept); a hot host is split by adaptive skew handling."""
-    counts = (flat.groupBy(host).agg(F.count(F.lit(1)).alias("_n"))
-              .withColumnRenamed(host, "_host"))
-    return (flat.join(counts, flat[host].eqNullSafe(counts["_host"]))
+def _paged(facts: DataFrame, host: str, row_hash: list[str], page_size: int) -> DataFrame:
+    """The rows with a page number each: ``hash(row) mod ceil(n_host / page_size)``.  The host
+    counts are a partial aggregate, joined back null-safely (needs without a host are kept); a hot host is split by
+    adaptive skew handling."""
+    counts = facts.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("_n"))
+    return (facts.join(counts, F.col(host).eqNullSafe(F.col("_host")))
             .withColumn("page", F.pmod(F.xxhash64(*row_hash),
                                        F.ceil(F.col("_n") / F.lit(page_size))).cast("bigint"))
             .drop("_n", "_host"))
@@ -58,13 +60,13 @@ def customer_accounts(t: Tables) -> DataFrame:
                     F.coalesce("n_orders", F.lit(0)).cast("string").alias("size")))
 
 
-def issue_needs_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per issue-hosted need with its host columns (before nesting)."""
+def issue_needs_flat(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """One row per issue-hosted need with its host columns and page (before nesting)."""
     t = Tables(spark, sf_dir)
     v = TrackerViews(spark, sf_dir)
-    li = t.lineitem
+    li = _paged(t.lineitem, "l_orderkey", LINE_KEY, page_size)      # counted before any dimension join
     issues = v.issues.select("id", "identifier", "title", "project_id", "assignee_id")
-    projects = v.projects.select(F.col("id").alias("_pid"), F.col("name").alias("project_name"))
+    projects = t.nation.select(F.col("n_nationkey").alias("_pid"), F.col("n_name").alias("project_name"))
     acct = customer_accounts(t)
     j = (li.join(issues, li.l_orderkey == issues.id)
          .join(projects, F.col("project_id") == F.col("_pid"), "left")
@@ -92,14 +94,12 @@ def issue_needs_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("_pid").isNotNull(),
                            F.struct(F.col("_pid").cast("string").alias("id"),
                                     F.col("project_name").alias("name"))).alias("host_project"),
-                    need.alias("need"),
-                    F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                               "l_quantity", "l_extendedprice", "l_shipdate").alias("_rh"))
+                    need.alias("need"), "page")
 
 
 def issue_need_docs(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
     """Issue documents (schema ``ISSUE_DOC``): one row per (issue, page)."""
-    flat = _paged(issue_needs_flat(spark, sf_dir), "host_id", [F.col("_rh")], page_size)
+    flat = issue_needs_flat(spark, sf_dir, page_size)
     return (flat.groupBy("host_id", "page")
             .agg(F.first("identifier").alias("identifier"), F.first("title").alias("title"),
                  F.first("host_project").alias("project"),
@@ -107,11 +107,13 @@ def issue_need_docs(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE
             .select(F.col("host_id").alias("id"), "identifier", "title", "project", "page", "needs"))
 
 
-def project_needs_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def project_needs_flat(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """One row per project-hosted need with its host columns and page; parts whose brand
+    names no nation share the null host."""
     t = Tables(spark, sf_dir)
     p, n = t.part, t.nation
     brand_no = F.regexp_extract("p_brand", r"(\d+)$", 1).try_cast("int")
-    j = p.join(n, brand_no - 1 == n.n_nationkey, "left")
+    j = _paged(p.join(n, brand_no - 1 == n.n_nationkey, "left"), "n_nationkey", PART_KEY, page_size)
     size = F.col("p_size")
     need = F.struct(
         F.col("p_partkey").cast("string").alias("id"),
@@ -124,13 +126,12 @@ def project_needs_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("n_name").alias("name"))).alias("project"),
         F.lit(None).cast(schemas.ISSUE_REF).alias("issue"))
     return j.select(F.col("n_nationkey").cast("string").alias("host_id"),
-                    F.col("n_name").alias("name"), need.alias("need"),
-                    F.xxhash64("p_partkey", "p_name", "p_brand", "p_type", "p_size").alias("_rh"))
+                    F.col("n_name").alias("name"), need.alias("need"), "page")
 
 
 def project_need_docs(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
     """Project documents (schema ``PROJECT_DOC``): one row per (project, page)."""
-    flat = _paged(project_needs_flat(spark, sf_dir), "host_id", [F.col("_rh")], page_size)
+    flat = project_needs_flat(spark, sf_dir, page_size)
     return (flat.groupBy("host_id", "page")
             .agg(F.first("name").alias("name"), F.collect_list("need").alias("needs"))
             .select(F.col("host_id").alias("id"), "name", "page", "needs"))

@@ -26,6 +26,7 @@ from feedlens.sources.tables import Tables
 # Fixed values of the mapping (they are data conventions, mirrored in the SQL oracles).
 STATE_NAMES = {"F": "Done", "O": "Todo", "P": "In Progress"}
 STATE_TYPES = {"F": "completed", "O": "unstarted", "P": "started"}
+LABELS = ("A", "N", "R")
 # Project state by region name of the project's nation; anything else is paused.
 PROJECT_STATES = {"ASIA": "Started", "EUROPE": "planned"}
 PROJECT_ARCHIVED_AT = "2000-01-01 00:00:00"
@@ -52,6 +53,12 @@ def _case(col: Column, mapping: dict[str, str], default: Column | None = None) -
     return expr.otherwise(default) if default is not None else expr
 
 
+def _rows(spark: SparkSession, columns: str, rows: list[tuple[str, ...]]) -> DataFrame:
+    """A small fixed dimension as literal rows (no scan of the facts that use it)."""
+    values = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
 def team_key(name: Column) -> Column:
     """Team key = the letters of the team name, upper-cased (``MIDDLE EAST`` → ``MIDDLEEAST``)."""
     return F.regexp_replace(F.upper(name), "[^A-Z]", "")
@@ -99,16 +106,13 @@ class TrackerViews:
 
     @property
     def states(self) -> DataFrame:
-        """One row per workflow state actually used (distinct is map-side combined)."""
-        s = self.t.orders.select(F.col("o_orderstatus").alias("id")).distinct()
-        return s.select("id",
-                        _case(F.col("id"), STATE_NAMES).alias("name"),
-                        _case(F.col("id"), STATE_TYPES).alias("type"))
+        """The workflow states, a fixed dimension."""
+        return _rows(self.spark, "id, name, type", [(i, STATE_NAMES[i], STATE_TYPES[i]) for i in STATE_NAMES])
 
     @property
     def labels(self) -> DataFrame:
-        return (self.t.lineitem.select(F.col("l_returnflag").alias("id")).distinct()
-                .select("id", F.col("id").alias("name")))
+        """The issue labels, a fixed dimension."""
+        return _rows(self.spark, "id, name", [(i, i) for i in LABELS])
 
     @property
     def issue_labels(self) -> DataFrame:
@@ -118,31 +122,37 @@ class TrackerViews:
     # -- facts ----------------------------------------------------------
     @property
     def issues(self) -> DataFrame:
-        """orders ⋈ customer (project = assignee's nation) ⋈ nation ⋈ region (team)."""
-        o, c, n = self.t.orders, self.t.customer, self.t.nation
+        """:attr:`issue_facts` with project (the assignee's nation), team (its region) and the
+        identifier built from the team key."""
+        c, n = self.t.customer, self.t.nation
         teams = self.teams
+        return (self.issue_facts
+                .join(c.select("c_custkey", "c_nationkey"), F.col("assignee_id") == F.col("c_custkey"), "left")
+                .join(n.select("n_nationkey", "n_regionkey"),
+                      F.col("c_nationkey") == F.col("n_nationkey"), "left")
+                .join(teams.select(F.col("id").alias("t_id"), F.col("key").alias("t_key")),
+                      F.col("n_regionkey") == F.col("t_id"), "left")
+                .select("id", F.concat(F.col("t_key"), F.lit("-"), F.col("id").cast("string")).alias("identifier"),
+                        "number", "title", "state_id", F.col("c_nationkey").alias("project_id"),
+                        F.col("n_regionkey").alias("team_id"), "assignee_id",
+                        "completed_at", "canceled_at", "archived_at", "updated_at"))
+
+    @property
+    def issue_facts(self) -> DataFrame:
+        """The issue columns held by ``orders`` alone, for queries that need neither project
+        nor team (left joins are not pruned, so those queries must not contain them)."""
         key = F.col("o_orderkey")
         status, prio, date = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderdate")
         title = F.when(prio != UNTITLED_PRIORITY,
                        F.concat(F.lit("Order "), key.cast("string"), F.lit(" "),
                                 F.lower(F.substring(prio, 3, 100))))
-        return (o.join(c.select("c_custkey", "c_nationkey"), o.o_custkey == c.c_custkey, "left")
-                .join(n.select("n_nationkey", "n_regionkey"),
-                      F.col("c_nationkey") == F.col("n_nationkey"), "left")
-                .join(teams.select(F.col("id").alias("t_id"), F.col("key").alias("t_key")),
-                      F.col("n_regionkey") == F.col("t_id"), "left")
-                .select(key.alias("id"),
-                        F.concat(F.col("t_key"), F.lit("-"), key.cast("string")).alias("identifier"),
-                        key.alias("number"),
-                        title.alias("title"),
-                        status.alias("state_id"),
-                        F.col("c_nationkey").alias("project_id"),
-                        F.col("n_regionkey").alias("team_id"),
-                        F.col("o_custkey").alias("assignee_id"),
-                        F.when(status == "F", date).alias("completed_at"),
-                        F.when((status == "P") & (prio == CANCELED_PRIORITY), date).alias("canceled_at"),
-                        F.when((status != "P") & (prio == ARCHIVED_PRIORITY), date).alias("archived_at"),
-                        date.alias("updated_at")))
+        return self.t.orders.select(
+            key.alias("id"), key.alias("number"), title.alias("title"), status.alias("state_id"),
+            F.col("o_custkey").alias("assignee_id"),
+            F.when(status == "F", date).alias("completed_at"),
+            F.when((status == "P") & (prio == CANCELED_PRIORITY), date).alias("canceled_at"),
+            F.when((status != "P") & (prio == ARCHIVED_PRIORITY), date).alias("archived_at"),
+            date.alias("updated_at"))
 
     @property
     def cycles(self) -> DataFrame:

@@ -21,7 +21,7 @@ handler being rebuilt keeps no state.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlens import schemas
@@ -129,3 +129,11 @@ def start_feed(events: DataFrame, path: str, checkpoint: str, trigger: dict | No
 def latest_events(feed: DataFrame, n: int = 50) -> DataFrame:
     """The newest ``n`` events first (a top-k, planned as TakeOrderedAndProject)."""
     return feed.orderBy(F.desc("received_at"), F.desc("body")).limit(n)
+
+
+def numbered_events(feed: DataFrame) -> DataFrame:
+    """T9 for the whole feed: every event with its ``day`` and its ``place`` in that day, newest
+    first.  Days then places give the whole feed in order without one global sort."""
+    order = Window.partitionBy("day").orderBy(F.desc("received_at"), F.desc("body"))
+    return (feed.withColumn("day", F.to_date("received_at"))
+            .withColumn("place", F.row_number().over(order).cast("bigint")))
