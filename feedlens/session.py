@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a shuffle join whose measured build partitions are all this small hashes instead of sorting
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
     # checkpoint files of collected intermediates are removed with their references
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Signature keys are derived on the driver; keep them out of plans and the UI.
