@@ -2,13 +2,16 @@
 
 A sketch keeps every 64-bit shingle hash that falls below a fixed fraction of the hash range, so
 its size follows the document, sketches of parts merge by set union, and the share of common
-hashes estimates containment even between very unequal documents.  Everything here is DataFrame
-expressions: no Python runs on the executors.
+hashes estimates containment even between very unequal documents.  A short text, of at most
+``SHORT / fraction`` different shingles, keeps all its hashes: two short texts are compared
+exactly, a short with a long one by the hashes of both below the fraction.  Everything here is
+DataFrame expressions: no Python runs on the executors.
 
 Defined results: a null text counts as empty; an empty text has the empty sketch; fewer words
-than a shingle form one shingle of all words; where no hash falls below the threshold the least
-one is kept, so only texts without words have an empty sketch.  Repeated rows are kept.  Rows
-with a null doc_id sort after all others, equal ids sort by a hash of their text.
+than a shingle form one shingle of all words; only texts without words have an empty sketch.  The
+likeness of a short and a long text is null (unknown) where the short one has no hash below the
+fraction.  Repeated rows are kept.  Rows with a null doc_id sort after all others, equal ids sort
+by a hash of their text.
 """
 
 from __future__ import annotations
@@ -22,6 +25,11 @@ from feedlens.llm import common
 
 SHINGLE = 5
 FRACTION = 1 / 8
+#: Expected hashes below the fraction in the shortest text that does not keep all of them.
+SHORT = 128
+#: A sketch of more hashes, all below the fraction, is a long text's: one has fewer with
+#: probability e^-51, a short text has so many there with probability fraction^33.
+FEW = 32
 ROWS_PER_RANGE = 1024
 MAX_RANGES = 65_536
 _LONG_MAX = (1 << 63) - 1
@@ -32,37 +40,54 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _bound(fraction: float) -> Column:
+    return F.lit(min(_LONG_MAX, -(1 << 63) + int(fraction * 2 ** 64)))
+
+
+def _scaled(distinct: Column, fraction: float) -> Column:
+    """All of the distinct hashes of a short text, those below the fraction of a long one; sorted."""
+    return F.sort_array(F.when(F.size(distinct) <= math.ceil(SHORT / fraction), distinct)
+                        .otherwise(F.filter(distinct, lambda x: x < _bound(fraction))))
+
+
+def _is_long(s: Column, fraction: float) -> Column:
+    """Whether a sketch is that of a long text."""
+    return (F.size(s) > FEW) & (F.array_max(s) < _bound(fraction))
+
+
 def sketch(text: Column, fraction: float = FRACTION, shingle: int = SHINGLE) -> Column:
-    """Sorted distinct shingle hashes below ``fraction`` of the hash range."""
+    """Sorted distinct shingle hashes: of a long text those below ``fraction`` of the hash range."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    bound = F.lit(min(_LONG_MAX, -(1 << 63) + int(fraction * 2 ** 64)))
 
     def of_words(h: Column) -> Column:
         n = F.size(h)
         many = F.transform(F.sequence(F.lit(0), n - shingle),
                            lambda i: F.xxhash64(*(h[i + k] for k in range(shingle))))
-        return F.when(n >= shingle, many).when(n > 0, F.array(F.xxhash64(h))).otherwise(
-            F.array().cast("array<bigint>"))
-
-    def keep(all_hashes: Column) -> Column:
-        low = F.filter(all_hashes, lambda x: x < bound)
-        return _let(low, lambda k: F.when(F.size(k) > 0, F.array_sort(F.array_distinct(k)))
-                    .when(F.size(all_hashes) > 0, F.array(F.array_min(all_hashes)))
-                    .otherwise(F.array().cast("array<bigint>")))
+        return F.array_distinct(F.when(n >= shingle, many).when(n > 0, F.array(F.xxhash64(h))).otherwise(
+            F.array().cast("array<bigint>")))
 
-    return _let(_let(F.transform(words, lambda w: F.xxhash64(w)), of_words), keep)
+    return _let(_let(F.transform(words, lambda w: F.xxhash64(w)), of_words), lambda d: _scaled(d, fraction))
 
 
-def merge(sketches: Column) -> Column:
+def merge(sketches: Column, fraction: float = FRACTION) -> Column:
     """Sketch of a text whose parts have the given sketches (shingles across joints aside)."""
-    return F.array_sort(F.array_distinct(F.flatten(sketches)))
+    every = F.array_distinct(F.flatten(sketches))
+    long = F.exists(sketches, lambda s: _is_long(s, fraction))
+    return _let(every, lambda d: F.when(long, F.sort_array(F.filter(d, lambda x: x < _bound(fraction))))
+                .otherwise(_scaled(d, fraction)))
+
+
+def likeness(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """Estimated containment of the smaller in the larger, 0 to 1; two empty sketches: 1; null
+    where one text is long and the other has no hash below the fraction."""
+    def share(x: Column, y: Column) -> Column:
+        return F.size(F.array_intersect(x, y)) / F.nullif(F.least(F.size(x), F.size(y)), F.lit(0))
 
+    def low(s: Column) -> Column:
+        return F.filter(s, lambda x: x < _bound(fraction))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Estimated containment of the smaller in the larger, 0 to 1; two empty sketches: 1."""
-    least = F.least(F.size(a), F.size(b))
-    return F.when(F.greatest(F.size(a), F.size(b)) == 0, 1.0).when(least == 0, 0.0).otherwise(
-        F.size(F.array_intersect(a, b)) / least)
+    return (F.when(F.greatest(F.size(a), F.size(b)) == 0, 1.0).when(F.least(F.size(a), F.size(b)) == 0, 0.0)
+            .when(_is_long(a, fraction) | _is_long(b, fraction), share(low(a), low(b))).otherwise(share(a, b)))
 
 
 def as_string(hashes: Column) -> Column:
@@ -124,16 +149,15 @@ def fingerprints(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
 
     The edited text has the last quarter of the code points replaced by the first as many of the
     next document."""
-    base = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .withColumn("sketch", sketch(F.col("text"), fraction)))
-    near = with_next(base, ["text", "sketch"])
+    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    near = with_next(base, ["text"])          # hashing a text again is cheaper than moving its sketch
     n = F.char_length("text")
-    edited = (near.withColumn("n_chars", n.cast("long"))
-              .withColumn("_cut", F.floor(F.col("n_chars") / 4).cast("int"))
-              .withColumn("edited", F.expr("concat(substring(text, 1, int(n_chars) - _cut), substring(next_text, 1, _cut))"))
-              .select("doc_id", "n_chars", "sketch", "next_sketch", "edited",
-                      sketch(F.col("edited"), fraction).alias("edited_sketch")))
-    return edited
+    return (near.withColumn("n_chars", n.cast("long"))
+            .withColumn("_cut", F.floor(F.col("n_chars") / 4).cast("int"))
+            .withColumn("edited", F.expr("concat(substring(text, 1, int(n_chars) - _cut), substring(next_text, 1, _cut))"))
+            .select("doc_id", "n_chars", sketch(F.col("text"), fraction).alias("sketch"),
+                    sketch(F.col("next_text"), fraction).alias("next_sketch"), "edited",
+                    sketch(F.col("edited"), fraction).alias("edited_sketch")))
 
 
 def op3_fingerprints(spark, sf_dir) -> DataFrame:
