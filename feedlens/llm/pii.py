@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction (operator 1).
 
-Base rules find emails, IPv4 addresses, card and phone numbers.  These seeds and all other
-identifier-like strings (candidates) form a graph with the lexical patterns around them: the two
+Base rules find emails, IPv4 addresses, card and phone numbers.  These seeds and everything else
+of a plausible form (candidates: scans for each form, spaces and parentheses inside included,
+``[at]`` addresses, masked cards) form a graph with the lexical patterns around them: the two
 words before, and the word before with the word after.  Spark scores the graph in rounds: a
 pattern's confidence for a kind is the share of its distinct instances known to be of that kind;
 an instance not yet known scores 1 minus the product of (1 - confidence) over its accepted
@@ -9,7 +10,8 @@ patterns.  Patterns of enough support and confidence promote candidates whose fo
 for the kind, which support further patterns in the next round, until nothing changes.
 
 Defined results: a null text counts as empty and holds nothing; repeated rows are kept and get the
-same spans; a candidate that overlaps a base span is none.  Positions are code points.
+same spans; candidates lie between the base spans; strings without a plausible form are no
+instances and weigh on no pattern.  Positions are code points.
 """
 
 from __future__ import annotations
@@ -33,14 +35,22 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_MARKED = re.compile(r"[0-9@]")
-_WHITE = re.compile(r"[ \t-\r]")
 _EDGE = ".,;:!?()[]{}<>\"'"
-_FORMS = [re.compile(p) for p in (
-    r"[A-Za-z0-9._%+-]*(?:@|\[at\]|\(at\))[A-Za-z0-9.-]+",
-    r"(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}|[0-9]{1,3}(?:[.-][0-9]{1,3}){3}(?::[0-9]+)?",
-    r"[0-9*xX]{4}(?:[ -]?[0-9*xX]{3,4}){2,4}",
-    r"\(?[0-9]{2,5}\)?(?:[-./][0-9]{2,6}){1,5}|[0-9]{7,13}")]
+_AT = re.compile(r"@| ?(?:\[at\]|\(at\)|\{at\}) ?", re.IGNORECASE)
+_AT_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?(?:\[dot\]|\(dot\)|\{dot\}) ?)[A-Za-z0-9-]+)*", re.IGNORECASE)
+#: Forms begin and end at white space or punctuation, not inside a word or a longer number.
+_BEGIN = r"(?<![^\s\[\]{}<>\"',;:!?(=|.])(?<!\w\.)(?<![0-9][,:])"
+_END = r"(?![^\s\[\]{}<>\"',;:!?)|.])(?![.,:]\w)"
+_NUMBER = r"[0-9]{2,6}"
+_FORMS = [(k, re.compile(_BEGIN + p + _END)) for k, p in (
+    (1, r"(?:(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}|[0-9]{1,3}(?:[.-][0-9]{1,3}){3}(?::[0-9]+)?)"),
+    (2, r"[0-9*xX]{4}(?:[ -][0-9*xX]{6}[ -][0-9*xX]{5}|(?:[ -]?[0-9*xX]{3,4}){2,4})"),
+    (3, rf"(?:\(?[0-9]{{2,5}}\)?(?:[-./]{_NUMBER}){{1,5}}|[0-9]{{7,13}})"),
+    (3, rf"\+?(?:[0-9]{{1,3}}[ .-]{{1,2}})?(?:\([0-9]{{1,5}}\)[ -]{{0,2}}{_NUMBER}|[0-9]{{2,5}} {{1,2}}{_NUMBER})"
+        rf"(?: {{1,2}}{_NUMBER}){{0,3}}(?:[-./]{_NUMBER}){{0,5}}"))]
+_SPACED = _FORMS[-1][1]
+_BEGINS, _ENDS = re.compile(_BEGIN), re.compile(_END)
+_LAST = re.compile(r"[ ./-]+[0-9]+\Z")
 
 
 def _luhn(digits: str) -> bool:
@@ -92,27 +102,46 @@ def _context(text: str, start: int, end: int) -> tuple[str, str]:
     return two, around
 
 
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Words with a digit or @ outside the base spans, edge punctuation cut."""
-    out, at, s = [], 0, 0
-    while True:
-        hit = _MARKED.search(text, at)
-        if not hit:
-            return out
-        lo = hit.start()
-        while lo > at and not _WHITE.match(text, lo - 1):
-            lo -= 1
-        hi = m.start() if (m := _WHITE.search(text, hit.start())) else len(text)
-        at = hi + 1
-        while s < len(spans) and spans[s][2] <= lo:
-            s += 1
-        if any(a < hi and b > lo for a, _, b in spans[s:s + 8]):
-            continue
-        word = text[lo:hi]
-        cut = len(word) - len(word.lstrip("[]{}<>\"',;:!?."))
-        kept = word.strip("[]{}<>\"',;:!?.")
-        if len(kept) >= 4 and len(kept) <= 80:
-            out.append((lo + cut, lo + cut + len(kept)))
+def _forms_between(text: str, lo: int, hi: int):
+    """(start, end, kind number) of everything of a plausible form in a part of the text."""
+    free = lo
+    for m in _AT.finditer(text, lo, hi):
+        start = m.start()
+        while start > free and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _AT_DOMAIN.match(text, m.end(), hi)
+        free = m.end()
+        if domain and (m[0] == "@" or start < m.start()) and _BEGINS.match(text, start) and _ENDS.match(text, domain.end(), hi):
+            yield start, domain.end(), 0
+    if _DIGIT.search(text, lo, hi):
+        for k, form in _FORMS:
+            for m in form.finditer(text, lo, hi):
+                found = m[0]
+                if form is _SPACED:
+                    while len(_DIGIT.findall(found)) > 15:
+                        found = _LAST.sub("", found)
+                    if len(_DIGIT.findall(found)) < 7:
+                        continue
+                if len(found) >= 4 and _DIGIT.search(found):
+                    yield m.start(), m.start() + len(found), k
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, form) of what has a plausible form between the base spans; ``form`` has bit k
+    set where kind k is plausible.  Where places overlap the first, then the longest stays."""
+    places: dict[tuple[int, int], int] = {}
+    at = 0
+    for lo, _, hi in [*spans, (len(text), 0, len(text))]:
+        if lo - at >= 4:
+            for s, e, k in _forms_between(text, at, lo):
+                places[s, e] = places.get((s, e), 0) | 1 << k
+        at = max(at, hi)
+    out, at = [], 0
+    for (s, e), form in sorted(places.items(), key=lambda x: (x[0][0], -x[0][1])):
+        if s >= at:
+            out.append((s, e, form))
+            at = e
+    return out
 
 
 def _id(value: str) -> int:
@@ -127,13 +156,12 @@ _SPANS = "array<struct<s:bigint,k:int,e:bigint>>"
 
 
 def mentions(text: str) -> tuple[list, list]:
-    """Base spans and mentions; a candidate's ``form`` has bit k set where kind k is plausible."""
+    """Base spans and mentions (of base spans and candidates)."""
     spans = base_spans(text)
     found = []
     for s, k, e in spans:
         found.append({"s": s, "e": e, "k": k, "form": 0, "v": _id(text[s:e].lower()), "p": [p for p in _context(text, s, e) if p]})
-    for s, e in candidates(text, spans):
-        form = sum(1 << k for k, f in enumerate(_FORMS) if f.fullmatch(text, s, e))
+    for s, e, form in candidates(text, spans):
         found.append({"s": s, "e": e, "k": -1, "form": form, "v": _id(text[s:e].lower()), "p": [p for p in _context(text, s, e) if p]})
     return [{"s": s, "k": k, "e": e} for s, k, e in spans], found
 
