@@ -4,8 +4,8 @@ Base rules find emails, IPv4 addresses, card and phone numbers.  These seeds and
 of a plausible form (candidates: scans for each form, spaces and parentheses inside included,
 ``[at]`` addresses, masked cards) form a graph with the lexical patterns around them: the two
 words before, and the word before with the word after.  Spark scores the graph in rounds: a
-pattern's confidence for a kind is the share of its distinct instances known to be of that kind;
-an instance not yet known scores 1 minus the product of (1 - confidence) over its accepted
+pattern's confidence for a kind is the share of its distinct instances known to be of that kind,
+each weighed by its score (seeds 1); an instance not yet known scores 1 minus the product of (1 - confidence) over its accepted
 patterns.  Patterns of enough support and confidence promote candidates whose form is plausible
 for the kind, which support further patterns in the next round, until nothing changes.
 
@@ -187,7 +187,8 @@ def extract(docs: DataFrame, keep: list[str]) -> DataFrame:
 def discover(extracted: DataFrame, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(kind, instance) of the candidates that accepted patterns promote, with their score.
 
-    Promoted candidates stay promoted, so the rounds end: each adds one at least or is the last."""
+    Promoted candidates stay promoted with the score they came in by, so the rounds end: each adds
+    one at least or is the last."""
     spark = extracted.sparkSession
     # one edge per pattern, instance and kind: copies of a text count once, hot patterns shrink
     edges = common.written(extracted.select(F.explode("__pii_mentions").alias("m")).select("m.v", "m.k", "m.form", F.explode("m.p").alias("p"))
@@ -198,16 +199,17 @@ def discover(extracted: DataFrame, min_support: int = MIN_SUPPORT, min_confidenc
     known = spark.createDataFrame([], "kind int, v bigint, score double")
     before = turn = 0
     while True:
-        promoted = edges.filter("k < 0").join(known, "v").select("p", "v", "kind")
-        seeds = edges.filter("k >= 0").select("p", "v", F.col("k").alias("kind")).unionByName(promoted)
-        support = seeds.groupBy("p", "kind").agg(F.countDistinct("v").alias("n_known"))
+        promoted = edges.filter("k < 0").join(known, "v").select("p", "v", "kind", "score")
+        seeds = edges.filter("k >= 0").select("p", "v", F.col("k").alias("kind"), F.lit(1.0).alias("score")).unionByName(promoted)
+        support = (seeds.groupBy("p", "kind", "v").agg(F.max("score").alias("score"))
+                   .groupBy("p", "kind").agg(F.count("*").alias("n_known"), F.sum("score").alias("weight")))
         every = edges.groupBy("p").agg(F.countDistinct("v").alias("n_all"))
-        patterns = (support.join(every, "p").withColumn("confidence", F.col("n_known") / F.col("n_all"))
+        patterns = (support.join(every, "p").withColumn("confidence", F.round(F.col("weight") / F.col("n_all"), 9))
                     .filter((F.col("n_known") >= min_support) & (F.col("confidence") >= min_confidence)))
         now = common.written(
             open_edges.join(patterns, ["p", "kind"]).groupBy("kind", "v")
             .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))).alias("score"))
-            .unionByName(known).groupBy("kind", "v").agg(F.max("score").alias("score")), f"pii-round{turn}")
+            .join(known, ["kind", "v"], "left_anti").unionByName(known), f"pii-round{turn}")
         n = now.count()
         known = now
         if n == before:
