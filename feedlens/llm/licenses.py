@@ -5,9 +5,11 @@ A text is lower-cased (A-Z only) and reduced to its words joined by single space
 pass finds every notice phrase at word bounds.  Where the identifier tag phrase occurs, the
 expression after each ``SPDX-License-Identifier:`` is parsed (WITH binds closest, then AND, then
 OR) and its licence ids become labels; an expression that does not parse gives ``unparsed``.
+``permissive`` evaluates the expressions: whether each of them can be met with licences of
+``PERMISSIVE`` only (OR one side, AND both, WITH the licence; one that does not parse cannot).
 
 Defined results: a null text counts as empty (no words, no labels, score 0); repeated rows are
-kept.  ``score`` is 1 minus the product of (1 - weight) over distinct labels.
+kept; ``permissive`` is null where there is no expression.  ``score`` is 1 minus the product of (1 - weight) over distinct labels.
 """
 
 from __future__ import annotations
@@ -31,6 +33,9 @@ NOTICES = {
 }
 TAG = "spdx license identifier"
 WEIGHTS = {"base": 0.9, "notice": 0.7, "tag": 0.95}
+#: Licence ids (lower case) that allow reuse under notice terms at most.
+PERMISSIVE = frozenset({"0bsd", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "bsl-1.0", "cc0-1.0", "isc", "mit", "mit-0",
+                        "ncsa", "postgresql", "unlicense", "x11", "zlib"})
 _TAG_LINE = re.compile(r"(?i:spdx-license-identifier):[ \t]*([^\r\n]*)")
 _TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9.+:-]+)")
 _PRECEDENCE = {"OR": 1, "AND": 2, "WITH": 3}
@@ -104,7 +109,7 @@ def licence_ids(rpn: list[str]) -> list[str]:
     return stack[-1]
 
 
-def permits(rpn: list[str], allowed: set[str]) -> bool:
+def permits(rpn: list[str], allowed: set[str] | frozenset[str]) -> bool:
     """Whether the expression can be met with allowed licences only (lower-case ids)."""
     stack: list[bool] = []
     for token in rpn:
@@ -117,13 +122,14 @@ def permits(rpn: list[str], allowed: set[str]) -> bool:
 
 
 def scan_text(text: str) -> tuple:
-    """(words, base places, first, last start, base labels, labels, score, expressions)."""
+    """(words, base places, first, last start, base labels, labels, score, expressions, permissive)."""
     words = text.encode().translate(_WORDS).split()
     joined = f" {b' '.join(words).decode()} "
     places: list[int] = []
     base: set[str] = set()
     weights: dict[str, float] = {}
     expressions: list[str] = []
+    permissive = None
     seen = at = 0
     tagged = False
     for end, phrase in automaton().iter(joined):
@@ -141,24 +147,25 @@ def scan_text(text: str) -> tuple:
         for m in _TAG_LINE.finditer(text):
             rpn = parse_expression(m[1])
             expressions.append(" ".join(rpn) if rpn else "")
+            permissive = permissive is not False and bool(rpn) and permits(rpn, PERMISSIVE)
             for label in licence_ids(rpn) if rpn else ["unparsed"]:
                 weights[label] = max(weights.get(label, 0), WEIGHTS["tag"] if rpn else 0.3)
     rest = 1.0
     for label in sorted(weights):
         rest *= 1 - weights[label]
     return (len(words), len(places), min(places, default=None), max(places, default=None),
-            ",".join(sorted(base)), ",".join(sorted(weights)), 1 - rest if weights else 0.0, expressions)
+            ",".join(sorted(base)), ",".join(sorted(weights)), 1 - rest if weights else 0.0, expressions, permissive)
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
                   ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()),
-                  ("score", pa.float64()), ("expressions", pa.list_(pa.string()))])
+                  ("score", pa.float64()), ("expressions", pa.list_(pa.string())), ("permissive", pa.bool_())])
 
 
 def _scan(batches):
     for batch in batches:
         found = [scan_text(t) for t in common.texts_of(batch)]
-        columns = dict(zip(_OUT.names[1:], map(list, zip(*found)) if found else [[]] * 8))
+        columns = dict(zip(_OUT.names[1:], map(list, zip(*found)) if found else [[]] * 9))
         yield common.rows(_OUT, {"doc_id": batch.column("doc_id"), **columns})
 
 
@@ -167,7 +174,7 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").transform(
             common.map_arrow,
         _scan, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-               "base_labels string, labels string, score double, expressions array<string>")
+               "base_labels string, labels string, score double, expressions array<string>, permissive boolean")
 
 
 def op10_licenses(spark, sf_dir) -> DataFrame:
