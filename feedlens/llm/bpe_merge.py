@@ -11,6 +11,8 @@ import heapq
 #: Up to this many parts a plain scan per merge is quicker than a heap.
 SCAN_PARTS = 48
 NEVER = 1 << 62
+#: Of a cache entry beside its bytes: two objects and the slot.
+ENTRY_BYTES = 200
 
 
 def merge(parts: list, rank: dict) -> list:
@@ -66,9 +68,10 @@ def _merge_heap(parts: list, rank: dict) -> list:
 
 
 class Costs(dict):
-    """Cache filled by ``make`` on a miss; holds at most ``most`` short keys beside its seed."""
+    """Cache filled by ``make`` on a miss; holds short keys of at most ``most`` bytes, the objects
+    around them included, beside its seed, and starts anew when full."""
 
-    def __init__(self, seed: dict, make, most: int = 400_000):
+    def __init__(self, seed: dict, make, most: int = 32 << 20):
         super().__init__(seed)
         self.make, self.room, self.seed, self.most = make, most, seed, most
 
@@ -80,5 +83,5 @@ class Costs(dict):
                 self.update(self.seed)
                 self.room = self.most
             self[key] = value
-            self.room -= 1
+            self.room -= ENTRY_BYTES + len(key) + (len(value) if isinstance(value, bytes) else 0)
         return value

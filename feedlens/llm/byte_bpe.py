@@ -207,7 +207,7 @@ def decode_ids(ids: np.ndarray, vocabulary: np.ndarray, offsets: np.ndarray) ->
     return vocabulary[np.arange(total) + np.repeat(offsets[ids] - (ends - length), length)].tobytes()
 
 
-def _decode(batches, shared):
+def _decode(batches, shared, offsets_checked):
     ranks = shared.value
     size = max(ranks.values()) + 1
     by_id: list[bytes] = [b""] * size
@@ -215,28 +215,55 @@ def _decode(batches, shared):
         by_id[i] = piece
     vocabulary = np.frombuffer(b"".join(by_id), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in by_id])])
+    length = np.diff(offsets)
     for batch in batches:
         out = []
-        for packed in batch.column("token_ids"):
+        for row, packed in enumerate(batch.column("token_ids")):
             ids = np.frombuffer(packed.as_buffer() or b"", "<u4").astype(np.int64)
             if len(ids) and int(ids.max()) >= size:
                 raise ValueError(f"token id {int(ids.max())} is not in the vocabulary")
+            if offsets_checked:
+                at = np.frombuffer(batch.column("token_offsets")[row].as_buffer() or b"", "<i8")
+                check_offsets(length[ids], at)
             out.append(b"".join(decode_ids(ids[i:i + common.CHUNK_CHARS], vocabulary, offsets)
                                 for i in range(0, len(ids), common.CHUNK_CHARS)))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
 
+def check_offsets(lengths: np.ndarray, at: np.ndarray) -> None:
+    """Every retained pre-token offset must be where a decoded token begins; else raises."""
+    begins = np.cumsum(lengths) - lengths
+    place = np.searchsorted(begins, at)
+    if len(at) and (place[-1] >= len(begins) or (begins[place] != at).any()):
+        raise ValueError("token ids and pre-token offsets do not belong together")
+
+
 def decode(tokens: DataFrame, ranks_path: str) -> DataFrame:
-    """Add ``decoded`` (binary) to rows with ``token_ids``."""
+    """Add ``decoded`` (binary) to rows with ``token_ids``; where ``token_offsets`` were retained
+    the decoded tokens are checked against them."""
     shared = tokens.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema) + ", decoded binary"
-    return tokens.transform(common.map_arrow, partial(_decode, shared=shared), schema)
+    checked = "token_offsets" in tokens.columns
+    return tokens.transform(common.map_arrow, partial(_decode, shared=shared, offsets_checked=checked), schema)
+
+
+def _round_trip(batches, shared, columns):
+    return _decode(_encode(batches, shared, True, columns), shared, True)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``token_ids``, ``token_offsets`` and ``decoded`` of every row: :func:`encode`
+    and :func:`decode` in one worker pass, so that a task holds one vocabulary and one batch."""
+    shared = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
+    return docs.select(*dict.fromkeys([*keep, "text"])).transform(
+        common.map_arrow, partial(_round_trip, shared=shared, columns=list(keep)),
+        schema + "token_ids binary, token_offsets binary, decoded binary")
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
     import public_tokenizers
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).select(
         "doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

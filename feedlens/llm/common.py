@@ -18,7 +18,7 @@ from feedlens.session import ensure_checkpoint_dir
 #: The word rule as a Java regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts handled together by the array code: at most this many characters (or one text).
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 250_000
 BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
 #: Key tables of at most this many rows (8 bytes a key) are broadcast, larger ones shuffled.

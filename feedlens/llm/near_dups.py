@@ -48,7 +48,7 @@ def _finish(h: np.ndarray) -> np.ndarray:
 
 
 def word_cache() -> Costs:
-    return Costs({}, xxhash.xxh3_64_intdigest, most=300_000)
+    return Costs({}, xxhash.xxh3_64_intdigest, most=48 << 20)
 
 
 def shingle_set(text: str, cache: Costs) -> np.ndarray:

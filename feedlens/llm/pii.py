@@ -277,9 +277,18 @@ def _keyed(batches, names):
                                          [*names, "__pii_key"])
 
 
+def _count_of(kind: int):
+    """Number of base spans of a kind (a lambda of two parameters would be given the index too)."""
+    return F.size(F.filter("base", lambda x: x["k"] == kind)).cast("long")
+
+
 def op1_pii(spark, sf_dir) -> DataFrame:
-    found = find(common.documents(spark, sf_dir), ["doc_id"])
-    counts = [F.size(F.filter("base", lambda x, k=k: x["k"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return digests(find(common.documents(spark, sf_dir), ["doc_id"]))
+
+
+def digests(found: DataFrame) -> DataFrame:
+    """Counts by kind and the span strings of rows of :func:`find`."""
+    counts = [_count_of(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(as_string(F.col("base")), 256).alias("base_sha256"), as_string(F.col("spans")).alias("spans"))
 
 

@@ -60,7 +60,7 @@ def count_tokens(text: str, costs: Costs) -> int:
 
 def _count(batches, shared):
     ranks, whole = shared.value
-    costs = Costs(whole, partial(cost, ranks=ranks))
+    costs = Costs(whole, partial(cost, ranks=ranks), most=64 << 20)
     for batch in batches:
         texts = common.texts_of(batch)
         yield pa.RecordBatch.from_arrays(
