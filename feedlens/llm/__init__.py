@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from feedlens.llm import byte_bpe, fingerprints, licenses, line_crf, mixing, near_dups, pii, substrings, token_counts, toxicity
+from feedlens.llm import (byte_bpe, fingerprints, licenses, line_crf, mixing, near_dups, packing, pii, prefix_trie, substrings,
+                          token_counts, toxicity, whitening)
 
-_MODULES = [pii, line_crf, fingerprints, toxicity, token_counts, mixing, substrings, byte_bpe, near_dups, licenses]
+_MODULES = [pii, line_crf, fingerprints, toxicity, token_counts, mixing, substrings, byte_bpe, near_dups, licenses, packing,
+            whitening, prefix_trie]
 
 
 def queries() -> dict:
