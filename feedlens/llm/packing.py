@@ -42,7 +42,11 @@ from feedlens.operators.ranking import numbered
 
 CAPACITY = 2048
 #: Lengths in a class of the linear program.
-WIDTH = 8
+WIDTH = 16
+#: The linear program ends when its total is proven to be this near to the least.
+GAP = 1e-3
+#: Share of the best dual prices so far in the prices a pattern is sought for.
+SMOOTHING = 0.8
 END = 1
 #: A text longer than this is encoded in parts.
 PART_CHARS = 250_000
@@ -149,16 +153,31 @@ def knapsack(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, n
     return float(best[room]), counts
 
 
-def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (a column each) and how often each is used, of the least total that gives every
-    size its ``demand``: the linear program, not rounded."""
+def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns (a column each) and how often each is used, of a total proven to be within ``gap`` of
+    the least that gives every size its ``demand``: the linear program, not rounded.
+
+    Patterns are priced between the current dual prices and the best ones so far (which start at
+    the sizes' shares of the room); prices divided by their best pattern's value are feasible for
+    the dual, so they also bound the total from below."""
     m = len(sizes)
     basis = np.diag((room // sizes).astype(float))
     inverse, used = np.diag(1 / np.diag(basis)), demand / np.diag(basis)
-    for turn in range(1, 1_000_000):
-        value, pattern = knapsack(inverse.sum(axis=0), sizes, room)
-        if value <= 1 + 1e-7:
-            break
+    centre, bound = sizes / room, 0.0
+    turn = 0
+    while True:
+        turn += 1
+        prices, smooth = inverse.sum(axis=0), SMOOTHING
+        while True:
+            mixed = smooth * centre + (1 - smooth) * prices
+            value, pattern = knapsack(mixed, sizes, room)
+            if demand @ mixed / value > bound:
+                centre, bound = mixed / value, float(demand @ mixed / value)
+            if prices @ pattern > 1 + 1e-9 or smooth == 0 or used.sum() <= bound * (1 + gap):
+                break
+            smooth = smooth / 2 if smooth > 0.1 else 0.0
+        if prices @ pattern <= 1 + 1e-9 or used.sum() <= bound * (1 + gap):
+            return basis.astype(np.int64), used
         step = inverse @ pattern
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = np.where(step > 1e-9, used / step, np.inf)
@@ -173,7 +192,6 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple
         else:
             inverse = np.linalg.inv(basis)
         used = np.maximum(used, 0)
-    return basis.astype(np.int64), used
 
 
 def plan(lengths: dict[int, int], capacity: int = CAPACITY, width: int = WIDTH) -> list[tuple[int, dict[int, int]]]:
