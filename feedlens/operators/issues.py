@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions import scalars as S
@@ -194,9 +194,10 @@ def issues_by_project_state(open_lite: DataFrame) -> DataFrame:
             .orderBy("project", "state"))
 
 
-def snapshot_listing(open_lite: DataFrame) -> DataFrame:
-    """K3 first section: every open issue under its project and state."""
+def snapshot_listing(open_lite: DataFrame, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """K3 first section: every open issue under its project and state (and ``keep`` columns)."""
     return open_lite.select(
+        *keep,
         F.lit(LISTING_SECTION).alias("section"), S.label_or("project_name", S.NO_PROJECT).alias("project"),
         S.label_or("state_name", S.NO_STATE, blank_is_missing=True).alias("state"),
         F.coalesce("identifier", F.lit("")).alias("identifier"), "title",
@@ -266,6 +267,12 @@ def lookup_issues(issues: DataFrame, teams: DataFrame, probes: DataFrame, identi
                        "left").drop("_key", "_number")
 
 
+def matches(query: str) -> Column:
+    """title or identifier contains the query in any case."""
+    q = query.lower()
+    return F.lower(F.coalesce("title", F.lit(""))).contains(q) | F.lower("identifier").contains(q)
+
+
 def search_issues(issues: DataFrame, query: str | None, limit=None,
                   scan_limit: int | None = None) -> DataFrame:
     """F6 + T6 + P15: ``TEAM-123`` looks the issue up by team key and number;
@@ -286,9 +293,7 @@ def search_issues(issues: DataFrame, query: str | None, limit=None,
         ident_key, _ = S.parse_identifier(F.col("identifier"))
         hits = base.filter((ident_key == key) & (F.col("number") == number))
     elif q:
-        lq = q.lower()
-        hits = base.filter(F.lower(F.coalesce("title", F.lit(""))).contains(lq)
-                           | F.lower("identifier").contains(lq))
+        hits = base.filter(matches(q))
     else:
         hits = base
     return hits.select(*out_cols).orderBy("id").limit(n)

@@ -14,15 +14,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import clean_text
+from feedlens.functions.weights import with_weights
 from feedlens.operators import analysis as AN
 from feedlens.operators import cluster as C
+from feedlens.operators import kmeans_long
 from feedlens.operators import report as R
-from feedlens.operators.text import TERMS_MAX_DF
+from feedlens.operators.text import TERMS_MAX_DF, VECTOR_MAX_DF, tfidf_long
 from feedlens.plans.oracle_views import with_views
 from feedlens.plans.text import tfidf_sql_ctes
+from feedlens.session import written
 from feedlens.sources.feedback import feedback_from_tables
 from feedlens.sources.tables import Tables
-
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -292,6 +294,47 @@ SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_ids, 0::BIGINT AS n_mispl
 FROM embeddings"""
 
 
+# -- tfidf_fit_checks: M1 M6 P10 on exact columns, what holds for any right weighted fit -----------
+FIT_K = 4
+
+
+def tfidf_fit_checks(spark, sf_dir):
+    """The long-form fit of the request table: documents and terms as they are, documents whose
+    distance to another centre is less than to theirs, and centre weights off the weighted mean of
+    their documents (both computed anew from the rows, not by the fit's own code)."""
+    fb = feedback_from_tables(spark, sf_dir)
+    rows = with_weights(fb).withColumn("text", clean_text("request")).filter(F.col("text").isNotNull())
+    docs = rows.select("doc_id", "text")
+    tfidf = tfidf_long(docs)
+    entries = written(tfidf.select(F.col("doc_id").alias("id"), "term", F.col("tfidf").alias("w")), "fit-entries")
+    weights = rows.select(F.col("doc_id").alias("id"), "weight")
+    found = kmeans_long.fit(weights, entries, FIT_K)
+    centres, placed = written(found.centres, "fit-centres"), found.assignment
+    norms = {r.cluster: r.norm for r in centres.groupBy("cluster").agg(F.sum(F.col("weight") * F.col("weight")).alias("norm")).collect()}   # k rows
+    products = entries.join(centres, "term").groupBy("id").agg(
+        *[F.sum(F.when(F.col("cluster") == j, F.col("w") * F.col("weight"))).alias(f"d{j}") for j in range(FIT_K)])
+    far = F.array(*[F.lit(norms.get(j, 0.0)) - 2 * F.coalesce(f"d{j}", F.lit(0.0)) for j in range(FIT_K)])
+    mine = placed.join(products, "id", "left").select(F.get(far, F.col("cluster")).alias("own"), F.array_min(far).alias("least"))
+    misplaced = mine.filter(F.col("own") > F.col("least") + 1e-6).select(F.count(F.lit(1))).scalar()
+    pulled = entries.join(placed, "id").join(weights, "id")
+    sizes = placed.join(weights, "id").groupBy("cluster").agg(F.sum("weight").alias("total"))
+    means = (pulled.groupBy("cluster", "term").agg(F.sum(F.col("w") * F.col("weight")).alias("s")).join(sizes, "cluster")
+             .select("cluster", "term", F.try_divide("s", "total").alias("mean")))
+    gap = F.abs(F.coalesce("mean", F.lit(0.0)) - F.coalesce("weight", F.lit(0.0)))
+    off = means.join(centres, ["cluster", "term"], "full").filter(gap > 0.001).select(F.count(F.lit(1))).scalar()
+    n_terms = entries.select(F.countDistinct("term")).scalar()
+    n_entries = entries.select(F.count(F.lit(1))).scalar()
+    return placed.agg(F.count(F.lit(1)).alias("n_docs"), F.countDistinct("id").alias("n_ids"), F.countDistinct("cluster").alias("n_clusters")) \
+        .withColumns({"n_terms": n_terms, "n_entries": n_entries, "n_misplaced": misplaced, "n_centres_off": off})
+
+
+QUERIES["tfidf_fit_checks"] = tfidf_fit_checks
+ORACLES["tfidf_fit_checks"] = "WITH " + tfidf_sql_ctes((VECTOR_MAX_DF, TERMS_MAX_DF)) + f"""
+SELECT (SELECT count(*) FROM docs) AS n_docs, (SELECT count(DISTINCT doc_id) FROM docs) AS n_ids,
+       CAST({FIT_K} AS BIGINT) AS n_clusters, (SELECT count(DISTINCT term) FROM tfidf) AS n_terms,
+       (SELECT count(*) FROM tfidf) AS n_entries, 0::BIGINT AS n_misplaced, 0::BIGINT AS n_centres_off"""
+
+
 # -- k-means queries (rows-only check) ------------------------------------------------------
 def cluster_embeddings(spark, sf_dir):
     emb = Tables(spark, sf_dir).embeddings

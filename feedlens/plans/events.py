@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from feedlens.functions.crypto import hmac_pads
 from feedlens.sources.tracker import TrackerViews
-from feedlens.sources.webhooks import TEST_KEY, deliveries_from_events
+from feedlens.sources.webhooks import FIRST_DAY, TEST_KEY, deliveries_from_events, issue_versions
 from feedlens.streaming import events as ev
 from feedlens.plans.oracle_views import with_views
 
@@ -113,3 +113,22 @@ def latest_events(spark, sf_dir):
 QUERIES["latest_events"] = latest_events
 ORACLES["latest_events"] = ("WITH " + _DELIVERIES
                             + f"\nSELECT * FROM verified ORDER BY received_at DESC, body DESC LIMIT {LATEST}")
+
+
+# -- events_as_of: W2 J10, the issue as it was at the event ---------------------------------------
+def events_as_of(spark, sf_dir):
+    return ev.enrich_events_as_of(ev.verified_events(_raw(spark, sf_dir), TEST_KEY), issue_versions(spark, sf_dir))
+
+
+QUERIES["events_as_of"] = events_as_of
+ORACLES["events_as_of"] = with_views(["issues", "teams"], "").rstrip() + ",\n" + _DELIVERIES + f""",
+lines AS (SELECT l_orderkey, l_linenumber,
+                 max(concat_ws(' ', CAST(l_linenumber AS VARCHAR), l_linestatus, l_shipmode)) AS state_name
+          FROM lineitem GROUP BY 1, 2),
+versions AS (SELECT CAST(i.id AS VARCHAR) AS id, i.identifier, i.title, l.state_name, t.name AS team_name,
+                    TIMESTAMP '{FIRST_DAY}' + to_days(CAST(4 * (l.l_linenumber - 1) + l.l_orderkey % 4 AS INTEGER)) AS valid_from
+             FROM lines l JOIN issues i ON i.id = l.l_orderkey LEFT JOIN teams t ON i.team_id = t.id)
+SELECT v.*, i.identifier, i.title, i.state_name, i.team_name
+FROM verified v ASOF LEFT JOIN versions i ON v.data_id = i.id AND v.received_at >= i.valid_from
+WHERE v.data_id IS NOT NULL
+  AND (coalesce(contains(lower(v.type), 'issue'), false) OR coalesce(v.data_type = 'Issue', false))"""

@@ -15,8 +15,8 @@ from feedlens.operators import requests as rq
 from feedlens.plans import clusters, events, requests, tracker
 from feedlens.plans.oracle_views import with_views
 from feedlens.session import shared_folder
-from feedlens.sinks.files import (cluster_example_columns, read_requests, write_report, write_requests,
-                                  write_snapshot)
+from feedlens.sinks.files import (ACTIVE_HEADER, LISTING_HEADER, LOAD_HEADER, TEAM_HEADER, cluster_example_columns, read_requests,
+                                  write_report, write_requests, write_snapshot, write_snapshot_file)
 from feedlens.sources import needs
 from feedlens.sources.feedback import feedback_from_tables, read_feedback
 from feedlens.sources.tracker import TrackerViews, read_entity
@@ -97,6 +97,21 @@ QUERIES["event_feed"] = event_feed
 ORACLES["event_feed"] = events.ORACLES["verified_events"]
 
 
+# -- event_outputs: W1 K5 (feed and rejects written by one stream, read back) ---------------------
+def event_outputs(spark, sf_dir):
+    folder = shared_folder(spark, "outputs")
+    landing, feed, rejects, log = (os.path.join(folder, d) for d in ("landing", "feed", "rejects", "log"))
+    raw = deliveries_from_events(spark, sf_dir)
+    raw.withColumn("received_at", F.col("received_at").cast("timestamp")).write.parquet(landing)
+    ev.start_outputs(ev.read_webhooks(spark, landing), TEST_KEY, feed, rejects, log).awaitTermination()
+    both = ev.read_output(spark, feed).select(*ev.REJECT_COLUMNS).unionByName(ev.read_output(spark, rejects))
+    return both.withColumn("received_at", F.col("received_at").cast("timestamp_ntz"))
+
+
+QUERIES["event_outputs"] = event_outputs
+ORACLES["event_outputs"] = "WITH " + events._DELIVERIES + "\nSELECT received_at, status, body FROM routed"
+
+
 # -- snapshot_files: K3 (the listing section of the snapshot) ----------------------------------
 def snapshot_files(spark, sf_dir):
     path = shared_folder(spark, "snapshot")
@@ -111,6 +126,28 @@ QUERIES["snapshot_files"] = snapshot_files
 ORACLES["snapshot_files"] = tracker.ORACLES["snapshot_listing"]
 
 
+# -- snapshot_text: K3 (the whole sectioned file, line by line) ---------------------------------
+def snapshot_text(spark, sf_dir):
+    path, v = shared_folder(spark, "snapshot-text"), TrackerViews(spark, sf_dir)
+    write_snapshot_file(tracker._open_lite(v), v.projects, path, with_team=True)
+    lines = spark.read.text(path).filter("value <> ''")
+    return lines.select(F.when(F.col("value").startswith("section,"), "header").otherwise(F.substring_index("value", ",", 1)).alias("section"),
+                        F.col("value").alias("line"))
+
+
+def _field(c):
+    return f"CASE WHEN regexp_matches({c}, '[\",\\n\\r]') THEN '\"' || replace({c}, '\"', '\"\"') || '\"' ELSE {c} END"
+
+
+QUERIES["snapshot_text"] = snapshot_text
+ORACLES["snapshot_text"] = f"""
+WITH a AS ({tracker.ORACLES["snapshot_listing"]}), b AS ({tracker.ORACLES["active_project_load"]}), c AS ({tracker.ORACLES["assignee_load"]})
+SELECT section, concat_ws(',', section, {", ".join(map(_field, ("project", "state", "identifier", "title", "assignee", "team")))}) AS line FROM a
+UNION ALL SELECT 'active_projects', concat_ws(',', 'active_projects', {_field("project_name")}, project_id, {_field("state")}, open_count) FROM b
+UNION ALL SELECT 'assignee_load', concat_ws(',', 'assignee_load', {_field("assignee_name")}, open_count) FROM c
+UNION ALL SELECT 'header', unnest(['{LISTING_HEADER}{TEAM_HEADER}', '{ACTIVE_HEADER}', '{LOAD_HEADER}'])"""
+
+
 # -- report_file, example_columns: K4, K2 A14 -------------------------------------------------
 def report_file(spark, sf_dir):
     report, _ = clusters._described(spark, sf_dir)

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.functions.scalars import since_cutoff
+from feedlens.functions.scalars import IDENTIFIER_PATTERN, since_cutoff
 from feedlens.operators import issues as ops
+from feedlens.operators.search_index import build_index, search_index
 from feedlens.plans.oracle_views import with_views
+from feedlens.session import shared_folder
 from feedlens.sources.tracker import TrackerViews
 
 # Fixed parameters of the registered queries.
@@ -205,6 +209,26 @@ WHERE contains(lower(coalesce(title, '')), '{SEARCH}') OR contains(lower(identif
 ORDER BY id LIMIT 200""")
 
 
+# -- issue_search_indexed: F6 through the trigram index, some searches at once --------------------
+INDEX_SEARCHES = (SEARCH, "14", "order 1499", "urgent", "asia-77", "zzz", "der 7 ", "ASIA-12")
+
+
+def issue_search_indexed(spark, sf_dir):
+    path = shared_folder(spark, "search-index")
+    build_index(_views(spark, sf_dir).issues, path)
+    found = [search_index(spark, path, q).withColumn("query", F.lit(q)) for q in INDEX_SEARCHES]
+    return reduce(DataFrame.unionByName, found)
+
+
+QUERIES["issue_search_indexed"] = issue_search_indexed
+_searched = " UNION ALL ".join(
+    f"(SELECT id, identifier, coalesce(title, '') AS title, '{q}' AS query FROM issues WHERE "
+    + (f"number = {q.split('-')[1]} AND split_part(identifier, '-', 1) = '{q.split('-')[0].upper()}'" if re.match(IDENTIFIER_PATTERN, q) else
+       f"contains(lower(coalesce(title, '')), '{q.lower()}') OR contains(lower(identifier), '{q.lower()}')")
+    + " ORDER BY id LIMIT 200)" for q in INDEX_SEARCHES)
+ORACLES["issue_search_indexed"] = with_views(["issues"], _searched)
+
+
 # -- issue_lookup: P15 (TEAM-123 identifiers resolved by team key and number) ---------
 def issue_lookup(spark, sf_dir):
     """Every issue looked up by its own lower-cased identifier: parse → (key, number) →

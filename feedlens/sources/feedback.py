@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions.scalars import priority_label
+from feedlens.sources.delimited import read_delimited
 from feedlens.sources.tables import Tables
 
 # Fixed values.
@@ -41,14 +42,12 @@ def read_feedback(spark: SparkSession, path: str, sep: str | None = None) -> Dat
     """Read a delimited request file, every column as a string.
 
     The delimiter is sniffed from the header line only (one small read) when not
-    given; records may span lines and use doubled quotes."""
+    given; records may span lines and use doubled quotes, and one large file is still
+    read by many tasks (:mod:`feedlens.sources.delimited`)."""
     if sep is None:
         first = spark.read.text(path).limit(1).collect()
         sep = sniff_delimiter(first[0][0] if first else "")
-    df = (spark.read.option("header", True).option("sep", sep).option("multiLine", True)
-          .option("quote", '"').option("escape", '"').option("inferSchema", False)
-          .option("mode", "PERMISSIVE").csv(path))
-    return normalize_columns(df)
+    return normalize_columns(read_delimited(spark, path, sep))
 
 
 def feedback_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.crypto import hmac_sha256_hex, signing_key
 from feedlens.sources.tables import Tables
+from feedlens.sources.tracker import TrackerViews
 
 # Fixed values of the test feed.
 TEST_KEY = "feedlens-webhook-test-key"
@@ -53,3 +54,22 @@ def deliveries_from_events(spark: SparkSession, sf_dir: str, key: str = TEST_KEY
                  .otherwise(sig))
     return signed.select(F.col("_body").cast("binary").alias("body"), signature.alias("signature"),
                          "received_at")
+
+
+#: Fixed value of the test feed: the first day of the events.
+FIRST_DAY = "2024-01-01 00:00:00"
+
+
+def issue_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history for the issues, from their lineitems: line ``n`` is the version valid from day
+    ``4 * (n - 1) + id mod 4`` of the feed on; its state names line, status and ship mode."""
+    t, v = Tables(spark, sf_dir), TrackerViews(spark, sf_dir)
+    state = F.concat_ws(" ", F.col("l_linenumber").cast("string"), "l_linestatus", "l_shipmode")
+    lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max(state).alias("state_name"))
+    day = 4 * (F.col("l_linenumber") - 1) + F.col("l_orderkey") % 4
+    teams = v.teams.select(F.col("id").alias("_tid"), F.col("name").alias("team_name"))
+    issues = (v.issues.join(teams, v.issues.team_id == F.col("_tid"), "left")
+              .select(F.col("id").alias("_iid"), "identifier", "title", "team_name"))
+    return (lines.join(issues, F.col("l_orderkey") == F.col("_iid"))
+            .select(F.col("_iid").alias("id"), (F.lit(FIRST_DAY).cast("timestamp_ntz") + F.make_dt_interval(day)).alias("valid_from"),
+                    "identifier", "title", "state_name", "team_name"))

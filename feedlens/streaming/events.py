@@ -13,7 +13,9 @@ DataFrame alike: the registered batch queries and the stream share the code.
   the issue, state and team tables; a failed lookup never drops the event.
 * ``start_feed`` (W3 / K5): append every verified event to a parquet feed with
   a checkpoint, so a restarted or re-scheduled query resumes exactly once.
-* ``latest_events`` (T9): newest-first read of the feed.
+* ``start_outputs`` (W1 + K5): verified and rejected deliveries from one verification.
+* ``enrich_events_as_of`` / ``start_enriched`` (J10 with history): the issue as it was at the event.
+* ``latest_events`` (T9): newest-first read of the feed; ``numbered_events`` gives every place.
 
 Redeliveries are not deduplicated, and there is no watermark or window: the
 handler being rebuilt keeps no state.
@@ -21,11 +23,14 @@ handler being rebuilt keeps no state.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import schemas
 from feedlens.functions.crypto import hmac_sha256_hex, signing_key
+from feedlens.operators.asof import join_as_of
+from feedlens.operators.ranking import numbered
 
 OK, BAD_SIGNATURE, BAD_JSON = "ok", "bad_signature", "bad_json"
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
@@ -133,7 +138,70 @@ def latest_events(feed: DataFrame, n: int = 50) -> DataFrame:
 
 def numbered_events(feed: DataFrame) -> DataFrame:
     """T9 for the whole feed: every event with its ``day`` and its ``place`` in that day, newest
-    first.  Days then places give the whole feed in order without one global sort."""
-    order = Window.partitionBy("day").orderBy(F.desc("received_at"), F.desc("body"))
-    return (feed.withColumn("day", F.to_date("received_at"))
-            .withColumn("place", F.row_number().over(order).cast("bigint")))
+    first.  Days then places give the whole feed in order without one global sort; places come
+    from ranges of (day, time), so no task holds a day."""
+    return numbered(feed.withColumn("day", F.to_date("received_at")), [F.desc("received_at"), F.desc("body")], ("day",))
+
+
+# -- W1 / K5: both outputs from one verification -------------------------------------------------
+
+FEED_COLUMNS = ("received_at", "status", "type", "action", "data_id", "data_type", "receivedAt", "body")
+REJECT_COLUMNS = ("received_at", "status", "body")
+
+
+def _write_output(rows: DataFrame, path: str, number: int) -> None:
+    """One micro-batch of an output as its own folder; written again it replaces itself."""
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+
+def start_outputs(raw: DataFrame, secret, feed: str, rejects: str, checkpoint: str, trigger: dict | None = None):
+    """W1 + K5: verified deliveries to ``feed`` and rejected ones to ``rejects``, from one pass.
+
+    Every micro-batch is verified once (kept while both outputs are written) and written under
+    its number.  The checkpoint gives a batch that failed between the two writes the same rows and
+    number again, so each output holds every delivery exactly once after any restart."""
+    def both(batch: DataFrame, number: int) -> None:
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _write_output(kept.filter(F.col("status") == OK).select(*FEED_COLUMNS), feed, number)
+            _write_output(kept.filter(F.col("status") != OK).select(*REJECT_COLUMNS), rejects, number)
+        finally:
+            kept.unpersist()
+
+    return (route_deliveries(raw, secret).writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_output(spark: SparkSession, path: str) -> DataFrame:
+    """All batches of an output of :func:`start_outputs`."""
+    return spark.read.parquet(path).drop("batch")
+
+
+# -- W2 / J10: lookups as of the event -------------------------------------------------------------
+
+VERSION_COLUMNS = ["identifier", "title", "state_name", "team_name"]
+
+
+def enrich_events_as_of(events: DataFrame, versions: DataFrame) -> DataFrame:
+    """J10 with history: issue-like events with the identifier, title, state and team their issue had
+    at ``received_at``.  ``versions`` are (id, valid_from, identifier, title, state_name, team_name)
+    rows, one for each change; events before the first version keep null lookups."""
+    return join_as_of(issue_events(events), versions.withColumn("id", F.col("id").cast("string")),
+                      "data_id", "received_at", "id", "valid_from", VERSION_COLUMNS)
+
+
+def start_enriched(events: DataFrame, read_versions, path: str, checkpoint: str, trigger: dict | None = None):
+    """W2 as a stream: every micro-batch meets the versions known when it runs (``read_versions()``
+    gives them), only those of its own issues, and is written under its number."""
+    def enrich(batch: DataFrame, number: int) -> None:
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            versions = read_versions()
+            wanted = issue_events(kept).select(F.col("data_id").alias("_id")).distinct()
+            own = versions.join(wanted, versions["id"].cast("string") == F.col("_id"), "left_semi")
+            _write_output(enrich_events_as_of(kept, own), path, number)
+        finally:
+            kept.unpersist()
+
+    return (events.writeStream.foreachBatch(enrich).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
