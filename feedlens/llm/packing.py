@@ -318,15 +318,17 @@ def packed(tokens: DataFrame, capacity: int = CAPACITY, width: int = WIDTH) -> D
     fresh = fresh.unionByName(spark.createDataFrame(tail, "sequence_id bigint, at bigint, length bigint"))
     laid = overlay(fillers.drop("_at"), free.select("sequence_id", "offset", "length", "at").unionByName(
         fresh.withColumn("offset", F.lit(0).cast("bigint"))), capacity)
-    return reduce(DataFrame.unionByName, [by_pattern, by_run, _checksummed(laid, placed, tokens)])
+    q = F.ceil(F.col("n") % capacity / width).cast("int")
+    taken = placed.filter("sequence_id is not null").groupBy(q.alias("q")).agg(F.max("row").alias("last"))
+    left = tokens.select("row", "doc_id", "n", "ids", q.alias("q")).join(F.broadcast(taken), "q", "left") \
+        .filter("q > 0 and row > coalesce(last, -1)")      # a class's places go by rank, so its left-over rows are the last
+    return reduce(DataFrame.unionByName, [by_pattern, by_run, _checksummed(laid, left)])
 
 
-def _checksummed(laid: DataFrame, placed: DataFrame, tokens: DataFrame) -> DataFrame:
+def _checksummed(laid: DataFrame, ids: DataFrame) -> DataFrame:
     """Left-over pieces with the checksums of their ids; only left-over documents' ids move."""
     columns = ["start", "length", "sequence_id", "offset"]
     pieces = laid.groupBy("row").agg(F.collect_list(F.struct(*columns)).alias("pieces"))       # pieces of one document
-    left = placed.filter("sequence_id is null").select("row")
-    ids = tokens.select("row", "doc_id", "n", "ids").join(left, "row", "left_semi")
     crc = F.transform("pieces", lambda p: F.struct(*[p[c].alias(c) for c in columns], F.crc32(
         F.substring("ids", (p["start"] * 4 + 1).cast("int"), (p["length"] * 4).cast("int"))).alias("crc")))
     return ids.join(pieces, "row").select("row", "doc_id", "n", F.explode(crc).alias("p")).select(
