@@ -123,7 +123,7 @@ def events_as_of(spark, sf_dir):
 QUERIES["events_as_of"] = events_as_of
 ORACLES["events_as_of"] = with_views(["issues", "teams"], "").rstrip() + ",\n" + _DELIVERIES + f""",
 lines AS (SELECT l_orderkey, l_linenumber,
-                 max(concat_ws(' ', CAST(l_linenumber AS VARCHAR), l_linestatus, l_shipmode)) AS state_name
+                 max(concat_ws(' ', CAST(l_linenumber AS VARCHAR), l_linestatus, l_returnflag)) AS state_name
           FROM lineitem GROUP BY 1, 2),
 versions AS (SELECT CAST(i.id AS VARCHAR) AS id, i.identifier, i.title, l.state_name, t.name AS team_name,
                     TIMESTAMP '{FIRST_DAY}' + to_days(CAST(4 * (l.l_linenumber - 1) + l.l_orderkey % 4 AS INTEGER)) AS valid_from

@@ -224,7 +224,7 @@ QUERIES["issue_search_indexed"] = issue_search_indexed
 _searched = " UNION ALL ".join(
     f"(SELECT id, identifier, coalesce(title, '') AS title, '{q}' AS query FROM issues WHERE "
     + (f"number = {q.split('-')[1]} AND split_part(identifier, '-', 1) = '{q.split('-')[0].upper()}'" if re.match(IDENTIFIER_PATTERN, q) else
-       f"contains(lower(coalesce(title, '')), '{q.lower()}') OR contains(lower(identifier), '{q.lower()}')")
+       f"contains(lower(coalesce(title, '')), '{q.strip().lower()}') OR contains(lower(identifier), '{q.strip().lower()}')")
     + " ORDER BY id LIMIT 200)" for q in INDEX_SEARCHES)
 ORACLES["issue_search_indexed"] = with_views(["issues"], _searched)
 

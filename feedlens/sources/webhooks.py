@@ -62,9 +62,9 @@ FIRST_DAY = "2024-01-01 00:00:00"
 
 def issue_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A history for the issues, from their lineitems: line ``n`` is the version valid from day
-    ``4 * (n - 1) + id mod 4`` of the feed on; its state names line, status and ship mode."""
+    ``4 * (n - 1) + id mod 4`` of the feed on; its state names line, status and return flag."""
     t, v = Tables(spark, sf_dir), TrackerViews(spark, sf_dir)
-    state = F.concat_ws(" ", F.col("l_linenumber").cast("string"), "l_linestatus", "l_shipmode")
+    state = F.concat_ws(" ", F.col("l_linenumber").cast("string"), "l_linestatus", "l_returnflag")
     lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max(state).alias("state_name"))
     day = 4 * (F.col("l_linenumber") - 1) + F.col("l_orderkey") % 4
     teams = v.teams.select(F.col("id").alias("_tid"), F.col("name").alias("team_name"))
