@@ -68,7 +68,7 @@ def issue_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max(state).alias("state_name"))
     day = 4 * (F.col("l_linenumber") - 1) + F.col("l_orderkey") % 4
     teams = v.teams.select(F.col("id").alias("_tid"), F.col("name").alias("team_name"))
-    issues = (v.issues.join(teams, v.issues.team_id == F.col("_tid"), "left")
+    issues = (v.issues.join(teams, F.col("team_id") == F.col("_tid"), "left")
               .select(F.col("id").alias("_iid"), "identifier", "title", "team_name"))
     return (lines.join(issues, F.col("l_orderkey") == F.col("_iid"))
             .select(F.col("_iid").alias("id"), (F.lit(FIRST_DAY).cast("timestamp_ntz") + F.make_dt_interval(day)).alias("valid_from"),
