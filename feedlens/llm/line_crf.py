@@ -2,9 +2,12 @@
 
 A linear-chain conditional random field marks every line with a word as content or boilerplate;
 Viterbi decoding finds the best labelling, and the share of words on content lines decides
-retention.  The field is trained here by maximum likelihood on a bounded sample of labelled
-documents (TRAIN_DOCS by hash of the id, of at most TRAIN_CHARS characters each), each line weakly labelled
-by its document's quality.  Features and decoding cover whole texts.
+retention.  The field is trained here on a bounded sample of labelled documents (TRAIN_DOCS by hash of
+the id, of at most TRAIN_CHARS characters each).  Only documents are labelled, so line labels are
+latent: expectation-maximisation with the document's label as a constraint on its content share
+(posterior regularisation) finds them.  The chain is then trained by maximum likelihood on runs of
+lines of different documents joined at random, so that labels change inside the training chains as
+they do in mixed documents.  Features and decoding cover whole texts of any length in one pass.
 
 Defined results: a null text has no words; such texts fail the base rule and are not kept; lines
 without a word take no part; without labelled documents of both kinds the verdict is the base
@@ -26,6 +29,10 @@ from feedlens.llm import common
 TRAIN_DOCS = 2000
 TRAIN_CHARS = 20_000
 CONTENT_SHARE = 0.5
+#: Expected content share of a low-quality document at most, of a good one at least, in training.
+LOW_SHARE, HIGH_SHARE = 0.15, 0.85
+#: Lines of a training chain, and most lines of a run in it.
+PIECE, RUN = 64, 8
 SYMBOLS = b"#*$%&|<>"
 _LOWER, _UPPER, _DIGITS = b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
 #: Upper bounds of the buckets of each line feature.
@@ -118,23 +125,88 @@ class Field:
         return np.array(out[::-1])
 
 
-def train(sequences: list[tuple[np.ndarray, int]], rounds: int = 80, l2: float = 1e-3) -> Field:
-    """Maximum likelihood by Adam steps on the exact gradient (forward-backward over all
-    sequences at once; for training, long sequences are cut into pieces of 64 lines)."""
-    pieces = [(s[i:i + 64], label) for s, label in sequences for i in range(0, len(s), 64)]
-    if len({label for _, label in pieces}) < 2:
-        return Field()
-    n, width = len(pieces), max(len(p) for p, _ in pieces)
+def _adam(w: np.ndarray, gradient, rounds: int, l2: float) -> np.ndarray:
+    m1, m2 = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, rounds + 1):
+        g = gradient(w) - l2 * w
+        m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
+        w = w + 0.1 * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
+    return w
+
+
+def line_weights(numbers: np.ndarray, gold: np.ndarray, rounds: int = 60, l2: float = 1e-3) -> np.ndarray:
+    """Log-odds of content of each feature, from single lines with labels between 0 and 1."""
+    def gradient(w):
+        miss = gold - 1 / (1 + np.exp(-w[numbers].sum(1)))
+        return np.bincount(numbers.ravel(), np.repeat(miss, numbers.shape[1]), N_FEATURES) / len(gold)
+    return _adam(np.zeros(N_FEATURES), gradient, rounds, l2)
+
+
+def constrained(odds: np.ndarray, weights: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Posterior of content of every line under its document's constraint (posterior regularisation):
+    the expected content share of words is at most LOW_SHARE in a low-quality document and at least
+    HIGH_SHARE in a good one.  The closest such posterior shifts all log-odds of a document alike."""
+    n = len(label)
+    total = np.bincount(doc, weights, n)
+
+    def share(shift):
+        return np.bincount(doc, weights / (1 + np.exp(-np.clip(odds + shift[doc], -60, 60))), n) / np.maximum(total, 1e-9)
+    now = share(np.zeros(n))
+    aim = np.where(label > 0, HIGH_SHARE, LOW_SHARE)
+    broken = np.where(label > 0, now < aim, now > aim)
+    lo, hi = np.full(n, -60.0), np.full(n, 60.0)
+    for _ in range(40):
+        mid = (lo + hi) / 2
+        above = share(mid) > aim
+        lo, hi = np.where(above, lo, mid), np.where(above, mid, hi)
+    return 1 / (1 + np.exp(-np.clip(odds + np.where(broken, (lo + hi) / 2, 0)[doc], -60, 60)))
+
+
+def latent_labels(sequences: list[tuple[np.ndarray, np.ndarray, int]], turns: int = 4) -> list[np.ndarray]:
+    """Labels of the lines of (features, words, document quality) by expectation-maximisation: lines
+    start with their document's label; then line weights are fitted to the labels and the labels set
+    to the constrained posteriors of those weights, in turn."""
+    numbers, weights = np.concatenate([s for s, _, _ in sequences]), np.concatenate([c for _, c, _ in sequences]).astype(float)
+    doc = np.repeat(np.arange(len(sequences)), [len(s) for s, _, _ in sequences])
+    label = np.array([q for _, _, q in sequences])
+    gold = label[doc].astype(float)
+    for _ in range(turns):
+        gold = constrained(line_weights(numbers, gold)[numbers].sum(1), weights, doc, label)
+    return np.split((gold >= 0.5).astype(np.int64), np.cumsum([len(s) for s, _, _ in sequences])[:-1])
+
+
+def spliced(sequences: list[tuple[np.ndarray, np.ndarray]], seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Chains of PIECE lines joined from runs of one to RUN lines of the (features, labels) given, in
+    random order: labels change inside them, as they do where a page's text meets its surroundings."""
+    draw = np.random.default_rng(seed)
+    runs = []
+    for numbers, labels in sequences:
+        at = 0
+        while at < len(numbers):
+            n = int(draw.integers(1, RUN + 1))
+            runs.append((numbers[at:at + n], labels[at:at + n]))
+            at += n
+    order = draw.permutation(len(runs))
+    numbers, labels = np.concatenate([runs[i][0] for i in order]), np.concatenate([runs[i][1] for i in order])
+    return [(numbers[i:i + PIECE], labels[i:i + PIECE]) for i in range(0, len(numbers), PIECE)]
+
+
+def train(chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, l2: float = 1e-3) -> Field:
+    """Maximum likelihood of labelled chains by Adam steps on the exact gradient (forward-backward
+    over all chains at once)."""
+    n, width = len(chains), max(len(c) for c, _ in chains)
     numbers = np.zeros((n, width, len(BUCKETS)), np.int64)
-    real = np.zeros((n, width), bool)
-    gold = np.array([label for _, label in pieces])
-    for i, (p, _) in enumerate(pieces):
-        numbers[i, :len(p)], real[i, :len(p)] = p, True
-    field = Field()
-    size = field.emit.size + 6
-    m1, m2, w = np.zeros(size), np.zeros(size), np.zeros(size)
+    real, gold = np.zeros((n, width), bool), np.zeros((n, width), np.int64)
+    for i, (c, labels) in enumerate(chains):
+        numbers[i, :len(c)], real[i, :len(c)], gold[i, :len(c)] = c, True, labels
+    truth = np.eye(2)[gold] * real[:, :, None]
+    both = (real[:, 1:] & real[:, :-1])[:, :, None, None]
+    true_pairs = (truth[:, :-1, :, None] * truth[:, 1:, None, :] * both).sum((0, 1))
     lines = real.sum()
-    for step in range(1, rounds + 1):
+    field = Field()
+
+    def gradient(w):
+        field.emit, field.move, field.start = w[:-6].reshape(-1, 2).copy(), w[-6:-2].reshape(2, 2).copy(), w[-2:].copy()
         emit = field.emit[numbers].sum(2)
         alpha, beta = np.zeros((n, width, 2)), np.zeros((n, width, 2))
         alpha[:, 0] = emit[:, 0] + field.start
@@ -146,29 +218,33 @@ def train(sequences: list[tuple[np.ndarray, int]], rounds: int = 80, l2: float =
             nxt = np.logaddexp(field.move[:, 0] + after[:, 0:1], field.move[:, 1] + after[:, 1:2])
             beta[:, t] = np.where(real[:, t + 1, None], nxt, 0.0)
         z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        p = np.exp(alpha + beta - z[:, None, None]) * real[:, :, None]
-        diff = np.eye(2)[gold][:, None, :] * real[:, :, None] - p
-        g_emit = np.zeros_like(field.emit)
-        for label in range(2):
-            g_emit[:, label] = np.bincount(numbers.reshape(-1), np.repeat(diff[:, :, label].reshape(-1), len(BUCKETS)), N_FEATURES)
-        both = (real[:, 1:] & real[:, :-1])[:, :, None, None]
+        diff = truth - np.exp(alpha + beta - z[:, None, None]) * real[:, :, None]
+        g_emit = np.stack([np.bincount(numbers.reshape(-1), np.repeat(diff[:, :, k].reshape(-1), len(BUCKETS)), N_FEATURES)
+                           for k in range(2)], 1)
         pair = np.exp(alpha[:, :-1, :, None] + field.move + (emit[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]) * both
-        steps_in = both[:, :, 0, 0].sum(1)
-        g_move = np.diag([steps_in[gold == k].sum() for k in range(2)]) - pair.sum((0, 1))
-        g = np.concatenate([g_emit.ravel(), g_move.ravel(), diff[:, 0].sum(0)]) / lines - l2 * w
-        m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
-        w = w + 0.1 * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
-        field.emit, field.move, field.start = w[:-6].reshape(-1, 2).copy(), w[-6:-2].reshape(2, 2).copy(), w[-2:].copy()
+        return np.concatenate([g_emit.ravel(), (true_pairs - pair.sum((0, 1))).ravel(), diff[:, 0].sum(0)]) / lines
+
+    w = _adam(np.zeros(field.emit.size + 6), gradient, rounds, l2)
+    field.emit, field.move, field.start = w[:-6].reshape(-1, 2).copy(), w[-6:-2].reshape(2, 2).copy(), w[-2:].copy()
     return field
 
 
+def learn(sequences: list[tuple[np.ndarray, np.ndarray, int]]) -> Field:
+    """The field for (features, words, document quality) of the training documents."""
+    if len({q for _, _, q in sequences}) < 2:
+        return Field()
+    labels = latent_labels(sequences)
+    return train(spliced([(s, y) for (s, _, _), y in zip(sequences, labels)]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Field:
     """Train on at most ``most`` labelled documents, chosen by a hash of the id."""
     picked = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     rows = (docs.select("doc_id", "text").filter(F.char_length("text") <= TRAIN_CHARS)
             .join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(most).select("text", "_quality").collect())
-    return train([(s, int(r["_quality"] > 0)) for r in rows if len(s := lines_of(r["text"].encode())[0])])
+    found = [(*lines_of(r["text"].encode())[:2], int(r["_quality"] > 0)) for r in rows]
+    return learn([x for x in found if len(x[0])])
 
 
 def judge(text: str, field: Field) -> tuple:
