@@ -237,7 +237,7 @@ def _verify(batches, threshold):
         for a, b in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows]):
             at: dict[int, int] = {}
             sets, partners, mult = [], [], []
-            for k in range(a, b):                                  # a row for every copy of a representative
+            for k in range(a, b):
                 cid = columns["cid"][k]
                 if cid in at:
                     continue
@@ -315,8 +315,10 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
             common.map_arrow,
         partial(_propose, threshold=threshold, tolerance=tolerance), _CANDIDATES), "near-candidates")
     reps = common.written(proposed.select("rep").distinct(), "near-reps")
-    with_text = (docs.select(row_key().alias("rep"), "text").join(common.small_side(reps), "rep", "left_semi").join(proposed, "rep")
-                 .select("blk", "cid", "mult", "partners", "text"))
+    # one row of a representative, however often it is repeated, before it meets its blocks
+    texts = (docs.select(row_key().alias("rep"), "text").join(common.small_side(reps), "rep", "left_semi")
+             .groupBy("rep").agg(F.min("text").alias("text")))
+    with_text = texts.join(proposed, "rep").select("blk", "cid", "mult", "partners", "text")
     verified = common.written(with_text.repartition("blk").sortWithinPartitions("blk").transform(
             common.map_arrow,
         partial(_verify, threshold=threshold), "cid bigint, root bigint, texts bigint, docs bigint"), "near-links")
