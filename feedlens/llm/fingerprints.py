@@ -1,17 +1,18 @@
 """Document fingerprints: threshold-scaled sketches of word shingles (operator 3).
 
-A sketch keeps every 64-bit shingle hash that falls below a fixed fraction of the hash range, so
-its size follows the document, sketches of parts merge by set union, and the share of common
-hashes estimates containment even between very unequal documents.  A short text, of at most
-``SHORT / fraction`` different shingles, keeps all its hashes: two short texts are compared
-exactly, a short with a long one by the hashes of both below the fraction.  Everything here is
-DataFrame expressions: no Python runs on the executors.
+A sketch keeps every 64-bit shingle hash that falls below a fixed fraction of the hash range, and
+nothing else, whatever the length of the text: its size follows the document, sketches of parts
+merge by set union, and the share of common hashes estimates containment even between very unequal
+documents.  Beside it, in a column of its own, stands the whole set of hashes of a text of few
+shingles, whose sketch holds too little to estimate from; two such texts are compared by these.
+Everything here is DataFrame expressions: no Python runs on the executors.
 
 Defined results: a null text counts as empty; an empty text has the empty sketch; fewer words
-than a shingle form one shingle of all words; only texts without words have an empty sketch.  The
-likeness of a short and a long text is null (unknown) where the short one has no hash below the
-fraction.  Repeated rows are kept.  Rows with a null doc_id sort after all others, equal ids sort
-by a hash of their text.
+than a shingle form one shingle of all words.  A likeness is always a number; where a text with
+words has no hash below the fraction and cannot be compared whole it is 0 and marked as unknown
+(``comparable`` is false).  Two texts without words are alike (1).  Texts of any length are hashed
+whole; repeated rows are kept; columns other than doc_id and text are not read.  Rows with a null
+doc_id sort after all others, equal ids sort by a hash of their text.
 """
 
 from __future__ import annotations
@@ -24,15 +25,15 @@ from pyspark.sql import functions as F
 from feedlens.llm import common
 
 SHINGLE = 5
-FRACTION = 1 / 8
-#: Expected hashes below the fraction in the shortest text that does not keep all of them.
-SHORT = 128
-#: A sketch of more hashes, all below the fraction, is a long text's: one has fewer with
-#: probability e^-51, a short text has so many there with probability fraction^33.
-FEW = 32
+#: A sketch of n shingles holds n * FRACTION hashes; a containment c is estimated from it with a
+#: standard error of sqrt(c * (1 - c) * (1 - FRACTION) / (n * FRACTION)).
+FRACTION = 1 / 4
+#: Texts of at most so many different shingles keep the whole set beside the sketch.
+WHOLE = 256
 ROWS_PER_RANGE = 1024
 MAX_RANGES = 65_536
 _LONG_MAX = (1 << 63) - 1
+_HASHES = "array<bigint>"
 
 
 def _let(value: Column, body) -> Column:
@@ -44,50 +45,56 @@ def _bound(fraction: float) -> Column:
     return F.lit(min(_LONG_MAX, -(1 << 63) + int(fraction * 2 ** 64)))
 
 
-def _scaled(distinct: Column, fraction: float) -> Column:
-    """All of the distinct hashes of a short text, those below the fraction of a long one; sorted."""
-    return F.sort_array(F.when(F.size(distinct) <= math.ceil(SHORT / fraction), distinct)
-                        .otherwise(F.filter(distinct, lambda x: x < _bound(fraction))))
-
-
-def _is_long(s: Column, fraction: float) -> Column:
-    """Whether a sketch is that of a long text."""
-    return (F.size(s) > FEW) & (F.array_max(s) < _bound(fraction))
-
-
-def sketch(text: Column, fraction: float = FRACTION, shingle: int = SHINGLE) -> Column:
-    """Sorted distinct shingle hashes: of a long text those below ``fraction`` of the hash range."""
+def marks(text: Column, fraction: float = FRACTION, shingle: int = SHINGLE, whole: int = WHOLE) -> Column:
+    """``sketch``: the sorted distinct shingle hashes below ``fraction`` of the hash range; ``every``:
+    all of them for a text of at most ``whole``, else null."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
     def of_words(h: Column) -> Column:
         n = F.size(h)
         many = F.transform(F.sequence(F.lit(0), n - shingle),
                            lambda i: F.xxhash64(*(h[i + k] for k in range(shingle))))
-        return F.array_distinct(F.when(n >= shingle, many).when(n > 0, F.array(F.xxhash64(h))).otherwise(
-            F.array().cast("array<bigint>")))
+        return F.array_sort(F.array_distinct(F.when(n >= shingle, many).when(n > 0, F.array(F.xxhash64(h))).otherwise(
+            F.array().cast(_HASHES))))
+
+    def kept(hashes: Column) -> Column:
+        return F.struct(F.filter(hashes, lambda x: x < _bound(fraction)).alias("sketch"),
+                        F.when(F.size(hashes) <= whole, hashes).alias("every"))
 
-    return _let(_let(F.transform(words, lambda w: F.xxhash64(w)), of_words), lambda d: _scaled(d, fraction))
+    return _let(_let(F.transform(words, lambda w: F.xxhash64(w)), of_words), kept)
 
 
-def merge(sketches: Column, fraction: float = FRACTION) -> Column:
+def sketch(text: Column, fraction: float = FRACTION, shingle: int = SHINGLE) -> Column:
+    return marks(text, fraction, shingle)["sketch"]
+
+
+def merge(sketches: Column) -> Column:
     """Sketch of a text whose parts have the given sketches (shingles across joints aside)."""
-    every = F.array_distinct(F.flatten(sketches))
-    long = F.exists(sketches, lambda s: _is_long(s, fraction))
-    return _let(every, lambda d: F.when(long, F.sort_array(F.filter(d, lambda x: x < _bound(fraction))))
-                .otherwise(_scaled(d, fraction)))
+    return F.array_sort(F.array_distinct(F.flatten(sketches)))
+
+
+def _share(x: Column, y: Column) -> Column:
+    return F.size(F.array_intersect(x, y)) / F.nullif(F.least(F.size(x), F.size(y)), F.lit(0))
+
+
+def _pair(a: Column, b: Column) -> tuple[Column, Column, Column]:
+    """Whether both are whole, and whether one of them is known to have no words."""
+    both = a["every"].isNotNull() & b["every"].isNotNull()
+    return both, F.coalesce(F.size(a["every"]) == 0, F.lit(False)), F.coalesce(F.size(b["every"]) == 0, F.lit(False))
 
 
-def likeness(a: Column, b: Column, fraction: float = FRACTION) -> Column:
-    """Estimated containment of the smaller in the larger, 0 to 1; two empty sketches: 1; null
-    where one text is long and the other has no hash below the fraction."""
-    def share(x: Column, y: Column) -> Column:
-        return F.size(F.array_intersect(x, y)) / F.nullif(F.least(F.size(x), F.size(y)), F.lit(0))
+def comparable(a: Column, b: Column) -> Column:
+    """Whether a likeness is more than a stand-in: both are whole, one is empty, or both have a sketch."""
+    both, empty_a, empty_b = _pair(a, b)
+    return both | empty_a | empty_b | (F.least(F.size(a["sketch"]), F.size(b["sketch"])) > 0)
 
-    def low(s: Column) -> Column:
-        return F.filter(s, lambda x: x < _bound(fraction))
 
-    return (F.when(F.greatest(F.size(a), F.size(b)) == 0, 1.0).when(F.least(F.size(a), F.size(b)) == 0, 0.0)
-            .when(_is_long(a, fraction) | _is_long(b, fraction), share(low(a), low(b))).otherwise(share(a, b)))
+def likeness(a: Column, b: Column) -> Column:
+    """Containment of the smaller in the larger, 0 to 1: exact where both sets are whole, else
+    estimated by the sketches; two empty texts: 1; 0 where it is unknown (see :func:`comparable`)."""
+    both, empty_a, empty_b = _pair(a, b)
+    return (F.when(empty_a & empty_b, 1.0).when(empty_a | empty_b, 0.0).when(both, _share(a["every"], b["every"]))
+            .otherwise(F.coalesce(_share(a["sketch"], b["sketch"]), F.lit(0.0))))
 
 
 def as_string(hashes: Column) -> Column:
@@ -145,7 +152,7 @@ def with_next(docs: DataFrame, columns: list[str], rows_per_range: int = ROWS_PE
 
 
 def fingerprints(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
-    """Per document its sketch, the sketch of its edited text and their likeness.
+    """Per document its marks (``own``), those of its edited text (``changed``) and of the ``next``.
 
     The edited text has the last quarter of the code points replaced by the first as many of the
     next document."""
@@ -155,18 +162,20 @@ def fingerprints(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
     return (near.withColumn("n_chars", n.cast("long"))
             .withColumn("_cut", F.floor(F.col("n_chars") / 4).cast("int"))
             .withColumn("edited", F.expr("concat(substring(text, 1, int(n_chars) - _cut), substring(next_text, 1, _cut))"))
-            .select("doc_id", "n_chars", sketch(F.col("text"), fraction).alias("sketch"),
-                    sketch(F.col("next_text"), fraction).alias("next_sketch"), "edited",
-                    sketch(F.col("edited"), fraction).alias("edited_sketch")))
+            .select("doc_id", "n_chars", marks(F.col("text"), fraction).alias("own"),
+                    marks(F.col("next_text"), fraction).alias("next"), "edited",
+                    marks(F.col("edited"), fraction).alias("changed")))
 
 
 def op3_fingerprints(spark, sf_dir) -> DataFrame:
     d = fingerprints(common.documents(spark, sf_dir))
+    own, nxt, changed = F.col("own"), F.col("next"), F.col("changed")
     return d.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                    as_string(F.col("sketch")).alias("fingerprint"),
-                    as_string(F.col("edited_sketch")).alias("edited_fingerprint"),
-                    likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-                    likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+                    as_string(own["sketch"]).alias("fingerprint"),
+                    as_string(changed["sketch"]).alias("edited_fingerprint"),
+                    likeness(own, changed).alias("near_edited"), likeness(own, nxt).alias("near_next"),
+                    as_string(own["every"]).alias("whole_set"),
+                    (comparable(own, changed) & comparable(own, nxt)).alias("comparable"))
 
 
 QUERIES = {"op3_fingerprints": op3_fingerprints}
