@@ -219,7 +219,9 @@ def removals(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame
     copies = common.written(scanned.groupBy("wkey").agg(F.count("*").alias("copies"), F.min("row").alias("row")), "sub-copies")
     # one row of each distinct word sequence takes part; copies are decided by their number alone
     spread = scanned.filter(F.size("mins") > 0).select("row", "mins").join(copies.select("row"), "row").select("row", F.explode("mins").alias("m"))
-    counts = spread.groupBy("m").agg(F.count("*").alias("n")).filter("n > 1").select("m", F.ceil(F.col("n") / hot).cast("int").alias("parts"))
+    # written, so that the join with it is one of two plain shuffles, whose hot keys Spark splits
+    counts = common.written(spread.groupBy("m").agg(F.count("*").alias("n")).filter("n > 1").select(
+        "m", F.ceil(F.col("n") / hot).cast("int").alias("parts")), "sub-counts")
     suspects = spread.join(counts, "m").groupBy("row").agg(F.collect_set(F.struct("m", "parts")).alias("shared"))
     texts = common.written(docs.select(row_key().alias("row"), "text").join(suspects, "row"), "sub-texts")
     segments = common.written(texts.transform(common.map_arrow, partial(_cut, window=window), _SEGMENTS), "sub-segments")
