@@ -10,7 +10,7 @@ cluster label, and the reply parser on the assistant turns of ``conversations``.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from feedlens.functions.text import clean_text
@@ -294,6 +294,68 @@ SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_ids, 0::BIGINT AS n_mispl
 FROM embeddings"""
 
 
+# -- embedded_requests: S7 (requests with their precomputed embedding, if any) -------------------
+def embedded_requests(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    placed = C.with_embeddings(t.documents.select("doc_id"), t.embeddings, "doc_id", "vec_id", "embedding")
+    v = F.when(F.col("features").isNotNull(), vector_to_array(F.coalesce("features", array_to_vector(F.array(F.lit(0.0))))))
+    return placed.select("doc_id", F.size(v).cast("bigint").alias("n_dims"), F.round(F.aggregate(v, F.lit(0.0), lambda s, x: s + x), 5).alias("total"))
+
+
+QUERIES["embedded_requests"] = embedded_requests
+ORACLES["embedded_requests"] = """
+WITH e AS (SELECT vec_id, min(embedding) AS v FROM embeddings GROUP BY vec_id)
+SELECT d.doc_id, len(e.v) AS n_dims, round(list_sum(CAST(e.v AS DOUBLE[])), 5) AS total
+FROM documents d LEFT JOIN e ON d.doc_id = e.vec_id"""
+
+
+# -- analysis_modes: M11 P10 (embeddings where every row has one, else TF-IDF for all) -------------
+def analysis_modes(spark, sf_dir):
+    fb, emb = feedback_from_tables(spark, sf_dir), Tables(spark, sf_dir).embeddings
+    rows = []
+    for name, some in (("all", fb), ("embedded", fb.join(emb.select(F.col("vec_id").alias("_v")).distinct(), F.col("doc_id") == F.col("_v"), "left_semi"))):
+        p = AN.prepare(some, "doc_id", "request", emb)
+        rows.append((name, p.vec_mode, p.n, p.weighted))
+        p.features.unpersist()
+    return spark.createDataFrame(rows, "selection string, vec_mode string, n_rows bigint, weighted boolean")
+
+
+QUERIES["analysis_modes"] = analysis_modes
+ORACLES["analysis_modes"] = with_views(["feedback"], "") + ", " + _MEMBERS_SQL.strip() + """,
+e AS (SELECT DISTINCT vec_id FROM embeddings),
+x AS (SELECT 'all' AS selection, m.doc_id, e.vec_id FROM m LEFT JOIN e ON m.doc_id = e.vec_id
+      UNION ALL SELECT 'embedded', m.doc_id, e.vec_id FROM m JOIN e ON m.doc_id = e.vec_id)
+SELECT selection, CASE WHEN count(vec_id) = count(*) THEN 'embeddings' ELSE 'tfidf' END AS vec_mode, count(*) AS n_rows, true AS weighted
+FROM x GROUP BY selection"""
+
+
+# -- k_policies: M5 M7 (the K of every group of requests, forced and automatic; none under two texts) --
+FORCED_K = 5
+POLICY_PARTS = 20
+
+
+def k_policies(spark, sf_dir):
+    """Groups are parts of a language, POLICY_PARTS each at most, of falling size."""
+    part = F.floor(F.sqrt(F.pmod("doc_id", F.lit(POLICY_PARTS * POLICY_PARTS)))).cast("int")
+    sizes = Tables(spark, sf_dir).documents.groupBy("lang", part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = [(r.lang, r.part, r.n, r.n >= 2, *((C.k_policy(r.n, FORCED_K), C.k_policy(r.n, None, r.n % 12), C.k_policy(r.n, None, None, 3, 6))
+                                              if r.n >= 2 else (None, None, None))) for r in sizes]
+    return spark.createDataFrame(rows, "lang string, part int, n bigint, enough boolean, forced_k bigint, auto_k bigint, range_k bigint")
+
+
+def _policy_sql(auto: str, k_min: int, k_max: int) -> str:
+    wanted = f"least(greatest(1, n - 1), greatest({C.AUTO_K_FLOOR}, {auto}))"
+    return (f"CASE WHEN n < 2 THEN NULL WHEN {wanted} BETWEEN {k_min} AND {k_max} THEN {wanted} "
+            f"ELSE least(greatest(2, {k_min}), greatest(2, least({k_max}, n - 1))) END")
+
+
+QUERIES["k_policies"] = k_policies
+ORACLES["k_policies"] = f"""
+WITH g AS (SELECT lang, CAST(floor(sqrt(doc_id % {POLICY_PARTS * POLICY_PARTS})) AS INTEGER) AS part, count(*) AS n FROM documents GROUP BY 1, 2)
+SELECT lang, part, n, n >= 2 AS enough, CASE WHEN n >= 2 THEN least(greatest({FORCED_K}, 1), greatest(1, n - 1)) END AS forced_k,
+       {_policy_sql("n % 12", C.DEFAULT_K_MIN, C.DEFAULT_K_MAX)} AS auto_k, {_policy_sql("3", 3, 6)} AS range_k FROM g"""
+
+
 # -- tfidf_fit_checks: M1 M6 P10 on exact columns, what holds for any right weighted fit -----------
 FIT_K = 4
 

@@ -301,6 +301,28 @@ ORACLES["assignee_issue_totals"] = with_views(["issues"], """
 SELECT assignee_id, count(*) AS total FROM issues GROUP BY assignee_id""")
 
 
+# -- team_issue_counts: F10 T8 (no name: the first team; a name in any case; an unknown name: none) ----
+TEAM_PROBES = (None, "asIA", "EUROPE", "nowhere")
+
+
+def team_issue_counts(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    issues, teams = v.issues, v.teams
+    found = []
+    for name in TEAM_PROBES:
+        team = ops.resolve_team(teams, name).select(F.col("id").alias("_tid"), F.col("name").alias("team_name"))
+        found.append(issues.join(team, F.col("team_id") == F.col("_tid")).groupBy("team_id", "team_name").agg(
+            F.count(F.lit(1)).alias("n_issues")).withColumn("probe", F.lit(name or "").cast("string")))
+    return reduce(DataFrame.unionByName, found)
+
+
+QUERIES["team_issue_counts"] = team_issue_counts
+ORACLES["team_issue_counts"] = with_views(["issues", "teams"], " UNION ALL ".join(
+    f"SELECT i.team_id, t.name AS team_name, count(*) AS n_issues, '{name or ''}' AS probe FROM issues i JOIN "
+    f"(SELECT * FROM teams {f"WHERE lower(name) = '{name.lower()}'" if name else ''} ORDER BY id LIMIT 1) t ON i.team_id = t.id GROUP BY 1, 2"
+    for name in TEAM_PROBES))
+
+
 # -- user_resolution: F10 P27 (every assignee resolved by its e-mail, any case) ----------
 def user_resolution(spark, sf_dir):
     """Each user's e-mail upper-cased and resolved back through a case-insensitive
