@@ -8,7 +8,8 @@ numbers and a composition table.  No regular expression runs on the texts.  The
 slices go through cached pair merging, and decoding gathers vocabulary bytes by offsets.
 
 Defined results: null and empty texts have no tokens and decode to no bytes; special strings are
-ordinary text; repeated rows are kept; decoding an id outside the vocabulary raises.
+ordinary text; texts of any length are encoded whole; repeated rows are kept; only the ``keep`` columns are
+carried; decoding an id outside the vocabulary raises.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,18 @@ def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
     return df.mapInArrow(task, schema)
 
 
+def isolated(*used: str):
+    """For an operator that returns its input's columns: those it does not use are renamed inside it,
+    so that no name of theirs clashes with its own working columns."""
+    def wrapped(operator):
+        @wraps(operator)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            inner = [n if n in used else f"_other{i}" for i, n in enumerate(docs.columns)]
+            return operator(docs.toDF(*inner), *args, **options).toDF(*docs.columns)
+        return run
+    return wrapped
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -1,6 +1,6 @@
 """Quality rules by line sequence labelling (operator 2).
 
-A linear-chain conditional random field marks every line with a word as content or boilerplate;
+A chain conditional random field marks every line with a word as content or boilerplate;
 Viterbi decoding finds the best labelling, and the share of words on content lines decides
 retention.  The field is trained here on a bounded sample of labelled documents (TRAIN_DOCS by hash of
 the id, of at most TRAIN_CHARS characters each).  Only documents are labelled, so line labels are

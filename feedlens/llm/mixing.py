@@ -12,7 +12,8 @@ target stops at LIMIT times its source's size, and the excess is shared again by
 
 Defined results: a null text has size 0 and takes 0 words; a null source is a source of its own;
 without words all targets are 0 and nothing is taken; equal rows (same id and text) are drawn
-alike.  More than ``max_sources`` sources raise: their totals are the only rows the driver reads.
+alike, and so are blocks of equal rank (by their number).  Texts of any length count whole; other
+columns are kept as they are, whatever their names.  More than ``max_sources`` sources raise: their totals are the only rows the driver reads.
 """
 
 from __future__ import annotations
@@ -144,6 +145,7 @@ def plan_mix(sized: DataFrame, seed: int = SEED, max_sources: int = MAX_SOURCES)
     return sources.select("source", "source_size", "target", "__mix_sid"), draws, total
 
 
+@common.isolated("doc_id", "text", "source")
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: every document once for each draw of its block, with the columns of
     ``docs``, dealt to the output shards and shuffled inside each."""

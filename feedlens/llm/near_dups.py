@@ -13,7 +13,8 @@ A pair of similarity s shares no band with probability (1 - s^4)^32: 4.5e-8 at 0
 
 Defined results: a null text counts as empty; texts without words are one class without links to
 others; fewer words than a shingle form one shingle; repeated rows are copies; the class id is
-the least doc_id of the group (null where no row of it has an id).
+the least doc_id of the group (null where no row of it has an id).  Texts of any length take part
+whole; other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -341,6 +342,7 @@ def classified(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return every.join(known, "cid").select("doc_id", "class_id", "n_links", "n_text_links")
 
 
+@common.isolated("doc_id", "text")
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: of the least doc_id, null last."""
     every, classes = link(docs, threshold)

@@ -4,7 +4,7 @@ A document's ids end with END.  Whole runs of CAPACITY ids fill a sequence each;
 than a sequence) are packed:
 
 1. Spark counts the rests by length class (WIDTH lengths a class, the upper one counting);
-2. on these at most CAPACITY / WIDTH counts a linear program chooses patterns, i.e. how many rests
+2. on these at most CAPACITY / WIDTH counts an optimisation program chooses patterns, i.e. how many rests
    of each class share a sequence: the simplex method on the patterns found so far, and a knapsack
    dynamic program over the dual prices that finds the next pattern or proves that none helps;
 3. the pattern counts are rounded down, low enough that the documents left over hold at least as
@@ -41,9 +41,9 @@ from feedlens.llm import common
 from feedlens.operators.ranking import numbered
 
 CAPACITY = 2048
-#: Lengths in a class of the linear program.
+#: Lengths in a class of the optimisation program.
 WIDTH = 16
-#: The linear program ends when its total is proven to be this near to the least.
+#: The program ends when its total is proven to be this near to the least.
 GAP = 1e-3
 #: Share of the best dual prices so far in the prices a pattern is sought for.
 SMOOTHING = 0.8
@@ -155,7 +155,7 @@ def knapsack(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, n
 
 def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (a column each) and how often each is used, of a total proven to be within ``gap`` of
-    the least that gives every size its ``demand``: the linear program, not rounded.
+    the least that gives every size its ``demand``, not rounded.
 
     Patterns are priced between the current dual prices and the best ones so far (which start at
     the sizes' shares of the room); prices divided by their best pattern's value are feasible for

@@ -11,7 +11,9 @@ for the kind, which support further patterns in the next round, until nothing ch
 
 Defined results: a null text counts as empty and holds nothing; repeated rows are kept and get the
 same spans; candidates lie between the base spans; strings without a plausible form are no
-instances and weigh on no pattern.  Positions are code points.
+instances and weigh on no pattern.  Positions are code points.  Texts of any length are scanned
+whole; a pattern's words are looked for in the 80 characters before and the 60 after a mention.
+Other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -64,7 +66,7 @@ def _luhn(digits: str) -> bool:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the base rules, by start, then kind.
 
-    Every rule is linear: emails grow from their @, and no search starts inside a digit run."""
+    Every rule takes one pass: emails grow from their @, and no search starts inside a digit run."""
     out = []
     free, at = 0, text.find("@")
     while at >= 0:
@@ -259,6 +261,7 @@ def _redact(batches, names):
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
+@common.isolated("text", "n_chars")
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every found span replaced by its kind in brackets, n_chars kept in step."""
     extracted = extract(docs, [])

@@ -208,6 +208,7 @@ def scored(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     return docs.select(*dict.fromkeys([*keep, "text"])).transform(common.map_arrow, partial(_score, shared=shared, keep=keep), schema)
 
 
+@common.isolated("doc_id", "text")
 def drop_toxic(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that score below ``threshold``, with their columns."""
     return scored(docs, model, docs.columns).filter(F.col("__score") < threshold).drop("__score")
