@@ -6,9 +6,10 @@ bytes this is exactly ``bytes.split()``.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
-from functools import wraps
+from functools import partial, wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -53,11 +54,22 @@ def small_side(keys: DataFrame) -> DataFrame:
 
 def map_arrow(df: DataFrame, task, schema: str) -> DataFrame:
     """``df.mapInArrow(task, schema)`` in batches of BATCH_ROWS rows and BATCH_BYTES bytes at most
-    (a longer row is a batch by itself), so that a Python worker holds little text at a time."""
+    (a longer row is a batch by itself), so that a Python worker holds little text at a time, and
+    returns its memory when a task ends, as it waits for tasks of other stages then."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(task, schema)
+    return df.mapInArrow(partial(_released, task=task), schema)
+
+
+def _released(batches, task):
+    try:
+        yield from task(batches)
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)             # where the C library has it
+        if trim is not None:
+            trim(0)
 
 
 def isolated(*used: str):
