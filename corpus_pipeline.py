@@ -5,6 +5,11 @@ encoded and decoded.
 Every stage takes (spark, docs, sf_dir) and works on all its predecessor kept; all but the last
 return the columns of ``documents``.  ``run`` writes each stage's result into the shared folder
 and reads it back, so a lost executor repeats one stage at most.
+
+Defined results: a null text is scored as empty and stays null until it is encoded (no tokens);
+repeated rows are one group of near duplicates; texts of any length take part whole; an empty table
+gives no rows; further columns of ``documents``, whatever their names, are kept up to the last
+stage, which returns digests.  Ties are settled by the operators (least id, then row hash).
 """
 
 from __future__ import annotations
