@@ -1,9 +1,9 @@
 """Customer-request extract: flatten nested needs, union both hosts, dedupe by id.
 
 ``explode`` flattens each page of needs in place (no shuffle).  Dedupe is one
-hash aggregate keyed by request id whose ``min_by`` runs partially on the map
-side, so an id repeated across a third of all pages still reaches the shuffle as
-one candidate row per task.
+aggregate keyed by request id whose ``min`` runs partially on the map side, so an
+id repeated across a third of all pages still reaches the shuffle as one candidate
+row per task.
 """
 
 from __future__ import annotations
@@ -68,9 +68,8 @@ def _order_key() -> Column:
 def dedupe_requests(rows: DataFrame) -> DataFrame:
     """A1: one row per request id, the first by (host kind, host, row) winning."""
     cols = list(schemas.REQUEST_COLUMNS)
-    best = rows.groupBy("request_id").agg(
-        F.min_by(F.struct(*cols), _order_key()).alias("r"))
-    return best.select(*[F.col(f"r.{c}").alias(c) for c in cols])
+    best = rows.groupBy("request_id").agg(F.min(_order_key()).alias("r"))     # the key holds every other column
+    return best.select(*["request_id" if c == "request_id" else F.col(f"r.{c}").alias(c) for c in cols])
 
 
 def _some(docs: DataFrame, message: str) -> DataFrame:

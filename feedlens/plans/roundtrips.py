@@ -46,7 +46,7 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, priority, request FROM feedback"
 # -- need_documents: S3 (nested documents as JSON lines) -------------------------------------
 def need_documents(spark, sf_dir):
     path = shared_folder(spark, "need-docs")
-    needs.issue_need_docs(spark, sf_dir).write.json(path)
+    needs.issue_need_docs(spark, sf_dir).write.json(path, compression="gzip")
     return rq.issue_needs(needs.read_need_docs(spark, path)).drop("_src", "_host")
 
 

@@ -18,7 +18,7 @@ spread over many tasks, and a recomputed task produces the same pages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens import schemas
@@ -44,10 +44,10 @@ def _paged(facts: DataFrame, host: str, row_hash: list[str], page_size: int) ->
     counts are a partial aggregate, joined back null-safely (needs without a host are kept); a hot host is split by
     adaptive skew handling."""
     counts = facts.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("_n"))
-    return (facts.join(counts, F.col(host).eqNullSafe(F.col("_host")))
-            .withColumn("page", F.pmod(F.xxhash64(*row_hash),
-                                       F.ceil(F.col("_n") / F.lit(page_size))).cast("bigint"))
-            .drop("_n", "_host"))
+    hashed = facts.withColumn("_deal", F.xxhash64(*row_hash))      # shuffled in place of the columns it is made of
+    return (hashed.join(counts, F.col(host).eqNullSafe(F.col("_host")))
+            .withColumn("page", F.pmod("_deal", F.ceil(F.col("_n") / F.lit(page_size))).cast("bigint"))
+            .drop("_n", "_host", "_deal"))
 
 
 def customer_accounts(t: Tables) -> DataFrame:
@@ -60,51 +60,58 @@ def customer_accounts(t: Tables) -> DataFrame:
                     F.coalesce("n_orders", F.lit(0)).cast("string").alias("size")))
 
 
-def issue_needs_flat(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    """One row per issue-hosted need with its host columns and page (before nesting)."""
+def issue_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per issue id with ``hosts``: its issue, project and customer columns (an element
+    for each row a repeated key gives, one as a rule)."""
     t = Tables(spark, sf_dir)
-    v = TrackerViews(spark, sf_dir)
-    li = _paged(t.lineitem, "l_orderkey", LINE_KEY, page_size)      # counted before any dimension join
-    issues = v.issues.select("id", "identifier", "title", "project_id", "assignee_id")
+    issues = TrackerViews(spark, sf_dir).issues.select("id", "identifier", "title", "project_id", "assignee_id")
     projects = t.nation.select(F.col("n_nationkey").alias("_pid"), F.col("n_name").alias("project_name"))
-    acct = customer_accounts(t)
-    j = (li.join(issues, li.l_orderkey == issues.id)
-         .join(projects, F.col("project_id") == F.col("_pid"), "left")
-         .join(acct, F.col("assignee_id") == F.col("c_custkey"), "left"))
-    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
-    need = F.struct(
-        F.col("l_partkey").cast("string").alias("id"),
-        F.when(F.col("l_linestatus") == "O",
-               F.concat(F.lit("  ship part "), F.col("l_partkey").cast("string"), F.lit(" line "),
-                        line.cast("string"), F.lit(" "))).alias("body"),
+    joined = (issues.join(projects, F.col("project_id") == F.col("_pid"), "left")
+              .join(customer_accounts(t), F.col("assignee_id") == F.col("c_custkey"), "left"))
+    host = F.struct("identifier", "title",
+                    F.when(F.col("_pid").isNotNull(),
+                           F.struct(F.col("_pid").cast("string").alias("id"),
+                                    F.col("project_name").alias("name"))).alias("project"),
+                    F.when(F.col("c_custkey").isNotNull(),
+                           F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
+                                    F.col("revenue"), F.col("size"))).alias("customer"))
+    return joined.groupBy("id").agg(F.collect_list(host).alias("hosts"))
+
+
+def _issue_need(order: Column, host: Column, item: Column) -> Column:
+    """The need of a lineitem (its part, line, status and flag) of an issue."""
+    part, line, flag = item["l_partkey"].cast("string"), item["l_linenumber"], item["l_returnflag"]
+    return F.struct(
+        part.alias("id"),
+        F.when(item["l_linestatus"] == "O",
+               F.concat(F.lit("  ship part "), part, F.lit(" line "), line.cast("string"), F.lit(" "))).alias("body"),
         F.when(flag == "R", F.lit(1)).when(flag == "A", F.lit(0))
          .when(line > 5, line).cast("int").alias("priority"),
-        F.when(F.col("c_custkey").isNotNull(),
-               F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
-                        F.col("revenue"), F.col("size"))).alias("customer"),
+        host["customer"].alias("customer"),
         F.when(flag == "R", F.struct(F.concat(
-            F.lit("https://tracker.example.com/att/"), F.col("l_orderkey").cast("string"),
+            F.lit("https://tracker.example.com/att/"), order.cast("string"),
             F.lit("-"), line.cast("string")).alias("url"))).alias("attachment"),
-        F.when(F.col("_pid").isNotNull(),
-               F.struct(F.col("_pid").cast("string").alias("id"),
-                        F.col("project_name").alias("name"))).alias("project"),
-        F.struct(F.col("id").cast("string").alias("id"), F.col("identifier"),
-                 F.col("title")).alias("issue"))
-    return j.select(F.col("id").cast("string").alias("host_id"), "identifier", "title",
-                    F.when(F.col("_pid").isNotNull(),
-                           F.struct(F.col("_pid").cast("string").alias("id"),
-                                    F.col("project_name").alias("name"))).alias("host_project"),
-                    need.alias("need"), "page")
+        host["project"].alias("project"),
+        F.struct(order.cast("string").alias("id"), host["identifier"].alias("identifier"),
+                 host["title"].alias("title")).alias("issue"))
 
 
 def issue_need_docs(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Issue documents (schema ``ISSUE_DOC``): one row per (issue, page)."""
-    flat = issue_needs_flat(spark, sf_dir, page_size)
-    return (flat.groupBy("host_id", "page")
-            .agg(F.first("identifier").alias("identifier"), F.first("title").alias("title"),
-                 F.first("host_project").alias("project"),
-                 F.collect_list("need").alias("needs"))
-            .select(F.col("host_id").alias("id"), "identifier", "title", "project", "page", "needs"))
+    """Issue documents (schema ``ISSUE_DOC``): one row per (issue, page).
+
+    The lineitems are paged and gathered by their own few columns; what they share with their
+    issue is joined once per document and written into the needs there, so it is never shuffled
+    once per need."""
+    items = Tables(spark, sf_dir).lineitem.filter(F.col("l_orderkey").isNotNull())
+    pages = (_paged(items, "l_orderkey", LINE_KEY, page_size)       # counted before any dimension join
+             .groupBy("l_orderkey", "page")
+             .agg(F.collect_list(F.struct("l_partkey", "l_linenumber", "l_linestatus", "l_returnflag")).alias("_items")))
+    docs = pages.join(issue_hosts(spark, sf_dir), F.col("l_orderkey") == F.col("id"))
+    needs = F.flatten(F.transform("hosts", lambda host: F.transform(
+        "_items", lambda item: _issue_need(F.col("id"), host, item))))
+    first = F.get("hosts", F.lit(0))
+    return docs.select(F.col("id").cast("string").alias("id"), first["identifier"].alias("identifier"),
+                       first["title"].alias("title"), first["project"].alias("project"), "page", needs.alias("needs"))
 
 
 def project_needs_flat(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
