@@ -14,6 +14,7 @@ entries; ``TEAM-123`` filters them by number.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,9 @@ from feedlens.operators.issues import clamp_limit, matches
 #: Postings read for a search: the rarest trigrams of the query.
 RAREST = 3
 GRAM = 3
+#: Characters, and so trigrams at most, of a part of the index.
+CHARS_PER_PARTITION = 4_000_000
+MIN_PARTITIONS = 4
 
 
 def _grams(text: Column) -> Column:
@@ -36,10 +40,12 @@ def build_index(issues: DataFrame, path: str) -> None:
     """Write the index of ``issues`` (id, number, identifier, title)."""
     spark = issues.sparkSession
     entries = issues.select("id", "number", "identifier", F.coalesce("title", F.lit("")).alias("title"))
-    entries.repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{path}/entries")
+    chars = entries.agg(F.sum(F.length("title") + F.coalesce(F.length("identifier"), F.lit(0)))).first()[0] or 0
+    parts = max(MIN_PARTITIONS, math.ceil(chars / CHARS_PER_PARTITION))     # a run of characters starts at each
+    entries.repartitionByRange(parts, "id").sortWithinPartitions("id").write.parquet(f"{path}/entries")
     stored = spark.read.parquet(f"{path}/entries")
     both = F.array_union(_grams(F.col("title")), _grams(F.coalesce("identifier", F.lit(""))))
-    postings = stored.select(F.explode(both).alias("trigram"), "id").repartitionByRange("trigram", "id")
+    postings = stored.select(F.explode(both).alias("trigram"), "id").repartitionByRange(parts, "trigram", "id")
     postings.sortWithinPartitions("trigram", "id").write.parquet(f"{path}/postings")
     counts = spark.read.parquet(f"{path}/postings").groupBy("trigram").agg(F.count(F.lit(1)).alias("n"))
     counts.repartitionByRange("trigram").sortWithinPartitions("trigram").write.parquet(f"{path}/counts")
