@@ -26,6 +26,8 @@ def join_as_of(events: DataFrame, versions: DataFrame, event_key: str, event_tim
         F.col(event_key).alias("_ao_key"), F.col(event_time).alias("_ao_at"), F.lit(1).alias("_ao_kind"), own.alias("_ao_event"))
     known = versions.filter(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull()).select(
         F.col(version_key).cast(kind).alias("_ao_key"), F.col(valid_from).alias("_ao_at"), F.lit(0).alias("_ao_kind"), version.alias("_ao_version"))
+    wanted = line.select(F.col("_ao_key").alias("_ao_own")).filter(F.col("_ao_own").isNotNull()).distinct()
+    known = known.join(wanted, F.col("_ao_key") == F.col("_ao_own"), "left_semi")      # keys without an event are not dealt
     both = line.unionByName(known, allowMissingColumns=True)
     found = carried_forward(both, [F.asc("_ao_at"), F.asc("_ao_kind"), F.asc("_ao_version")], ("_ao_key",), "_ao_version", "_ao_valid")
     matched = F.when(F.col("_ao_key").isNotNull() & F.col("_ao_at").isNotNull(), F.col("_ao_valid"))
