@@ -27,8 +27,8 @@ from feedlens.operators.issues import clamp_limit, matches
 RAREST = 3
 GRAM = 3
 #: Characters, and so trigrams at most, of a part of the index.
-CHARS_PER_PARTITION = 4_000_000
-MIN_PARTITIONS = 4
+CHARS_PER_PARTITION = 1_000_000
+MIN_PARTITIONS = 16
 
 
 def _grams(text: Column) -> Column:
